@@ -6,24 +6,34 @@ from datetime import date
 
 from pyspark.sql import Column, functions as F
 
-BUSINESS_FORMAT = "dd.MM.yyyy"
 DAILY_FORMAT = "yyyyMMddHHmmss"
 TWO_DIGIT_PIVOT = 69
 
-_DOTTED = r"^\d{2}\.\d{2}\.\d{4}$"
-_DOTTED_PREFIX = r"^\d{2}\.\d{2}\.\d{4}"
+# Text is first brought to yyyy-MM-dd, which Spark casts to a date without a formatter object and
+# without an exception per bad row.
+_STAMP = r"(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})"
+_DAILY_STAMP = r"^(\d{4})(\d{2})(\d{2})([01]\d|2[0-3])[0-5]\d[0-5]\d$"
+_DOTTED = r"^(\d{2})\.(\d{2})\.(\d{4})$"
 _NAMED_MONTH = r"^\d{2}-\w{3}-\d{2}$"
 _ISO = r"^\d{4}-\d{1,2}-\d{1,2}$"
 _ANY_DELIMITED = r"(\d+)[./\-](\d+)[./\-](\d+)"
-_STAMP = r"(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})"
+_MONTHS = ("JAN", "FEB", "MAR", "APR", "MAY", "JUN", "JUL", "AUG", "SEP", "OCT", "NOV", "DEC")
 
 
 def business_text(day: Column) -> Column:
-    return F.date_format(day, BUSINESS_FORMAT)
+    """``dd.MM.yyyy``."""
+    iso = day.cast("string")
+    return F.concat_ws(".", F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4))
+
+
+def _iso_date(iso: Column) -> Column:
+    return F.when(F.rlike(iso, F.lit(_ISO)), iso.try_cast("date"))
 
 
 def daily_date(value: Column, fmt: str = DAILY_FORMAT) -> Column:
     """P9."""
+    if fmt == DAILY_FORMAT:
+        return _iso_date(F.regexp_replace(value, _DAILY_STAMP, "$1-$2-$3"))
     return F.to_date(F.try_to_timestamp(value, F.lit(fmt)))
 
 
@@ -31,33 +41,36 @@ def _without_time(value: Column) -> Column:
     return F.split_part(value, F.lit(" "), F.lit(1))
 
 
-def _dotted_or_iso(text: Column) -> Column:
-    return F.when(F.rlike(text, F.lit(_DOTTED)), F.try_to_date(text, BUSINESS_FORMAT)).when(
-        F.rlike(text, F.lit(_ISO)), F.try_to_date(text, "yyyy-M-d")
-    )
+def _dotted_to_iso(text: Column) -> Column:
+    return F.regexp_replace(text, _DOTTED, "$3-$2-$1")
+
+
+def _named_to_iso(text: Column) -> Column:
+    """``dd-MMM-yy``; an unknown month name gives no date."""
+    month = F.array_position(F.array(*[F.lit(m) for m in _MONTHS]), F.upper(F.substring(text, 4, 3)))
+    year = F.substring(text, 8, 2)
+    century = F.when(year.try_cast("int") >= TWO_DIGIT_PIVOT, "19").otherwise("20")
+    return F.concat(century, year, F.lit("-"), month.cast("string"), F.lit("-"), F.substring(text, 1, 2))
 
 
 def weekly_date(value: Column) -> Column:
     """P10: ``dd.MM.yyyy``, ``dd-MMM-yy`` (years from 69 on are 19xx) or ``yyyy-MM-dd``."""
     text = _without_time(value)
-    year = F.substring(text, 8, 2)
-    century = F.when(year.try_cast("int") >= TWO_DIGIT_PIVOT, F.lit("19")).otherwise(F.lit("20"))
-    named = F.try_to_date(F.concat(F.substring(text, 1, 7), century, year), "dd-MMM-yyyy")
-    return F.when(F.rlike(text, F.lit(_NAMED_MONTH)), named).otherwise(_dotted_or_iso(text))
+    return _iso_date(F.when(F.rlike(text, F.lit(_NAMED_MONTH)), _named_to_iso(text)).otherwise(_dotted_to_iso(text)))
 
 
 def period_date(value: Column) -> Column:
     """``dd.MM.yyyy`` or ``yyyy-MM-dd``."""
-    return _dotted_or_iso(_without_time(value))
+    return _iso_date(_dotted_to_iso(_without_time(value)))
 
 
 def _business_day(value: Column) -> Column:
-    return F.when(F.rlike(value, F.lit(_DOTTED_PREFIX)), F.try_to_date(value, BUSINESS_FORMAT))
+    return F.when(F.rlike(value, F.lit(_DOTTED)), _dotted_to_iso(value).try_cast("date"))
 
 
 def week_start(value: Column) -> Column:
     """Monday of a ``dd.MM.yyyy`` date; null for other text."""
-    return F.to_date(F.date_trunc("week", _business_day(value)))
+    return F.date_sub(F.next_day(_business_day(value), "Mon"), 7)
 
 
 def month_start(value: Column) -> Column:
@@ -135,5 +148,4 @@ def months_before(as_of: date, months: int) -> date:
 
 def month_label(first_day: date) -> str:
     """``yyyy-MMM`` with English month names."""
-    names = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
-    return f"{first_day.year}-{names[first_day.month - 1]}"
+    return f"{first_day.year}-{_MONTHS[first_day.month - 1].capitalize()}"

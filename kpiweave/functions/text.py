@@ -42,7 +42,7 @@ def number(value: Column) -> Column:
 
 
 def nan_to_null(value: Column) -> Column:
-    return F.when(~F.isnan(value), value)
+    return F.nanvl(value, F.lit(None).cast("double"))
 
 
 def or_text(value: Column, null_text: str) -> Column:

@@ -25,6 +25,17 @@ def _provenance(raw: DataFrame) -> list[str]:
     return [c for c in PROVENANCE if c in raw.columns]
 
 
+def _readable(rows: DataFrame, day: Column) -> DataFrame:
+    """Rows with a readable date, as column _day. A filter on it would be pushed down and parse every
+    date twice; the generator drops the rows without one where they are."""
+    parsed = rows.withColumn("_parsed", day)
+    return parsed.select("*", F.explode(F.array_compact(F.array("_parsed"))).alias("_day"))
+
+
+def _unreadable(rows: DataFrame, day: Column) -> DataFrame:
+    return rows.filter(day.isNull()).withColumn("reason", F.lit("unreadable date"))
+
+
 def daily_lines(raw: DataFrame) -> DataFrame:
     """F1."""
     return raw.filter((F.col("Marker") == "L") & F.col("Value").isNotNull())
@@ -60,16 +71,12 @@ def _daily_day(formats: DateFormats) -> Column:
     return day
 
 
-def _parsed_daily(raw: DataFrame, formats: DateFormats) -> DataFrame:
-    return (
-        daily_lines(raw)
-        .filter(is_number_text(F.col("Value")))
-        .withColumn("_day", _daily_day(formats))
-    )
+def _daily_numbers(raw: DataFrame) -> DataFrame:
+    return daily_lines(raw).filter(is_number_text(F.col("Value")))
 
 
 def normalize_daily(raw: DataFrame, date_formats: DateFormats = dates.DAILY_FORMAT) -> DataFrame:
-    parsed = _parsed_daily(raw, date_formats).filter(F.col("_day").isNotNull())
+    parsed = _readable(_daily_numbers(raw), _daily_day(date_formats))
     day, kpi = dates.business_text(F.col("_day")), upper_strip(or_text(F.col("KPINameDaily"), "<NA>"))
     return parsed.select(
         keys.input_id(F.col("Natco"), kpi, day, DAILY.suffix).alias("Input_ID"),
@@ -86,8 +93,7 @@ def normalize_daily(raw: DataFrame, date_formats: DateFormats = dates.DAILY_FORM
 
 
 def quarantine_daily(raw: DataFrame, date_formats: DateFormats = dates.DAILY_FORMAT) -> DataFrame:
-    rejected = _parsed_daily(raw, date_formats).filter(F.col("_day").isNull())
-    return rejected.drop("_day").withColumn("reason", F.lit("unreadable date"))
+    return _unreadable(_daily_numbers(raw), _daily_day(date_formats))
 
 
 def with_remarks(raw: DataFrame) -> DataFrame:
@@ -95,17 +101,20 @@ def with_remarks(raw: DataFrame) -> DataFrame:
     return raw if "Remarks" in raw.columns else raw.withColumn("Remarks", F.lit(""))
 
 
-def _parsed_period(raw: DataFrame, grain: Grain) -> DataFrame:
+def _period_numbers(raw: DataFrame, grain: Grain) -> DataFrame:
     rows = raw.filter(F.col("Value").isNotNull() & is_number_text(F.col("Value")))
     if grain is MONTHLY:
         rows = with_remarks(rows).filter(F.col("KPI name").isNotNull())
-    parse = dates.weekly_date if grain is WEEKLY else dates.period_date
-    return rows.withColumn("_day", parse(F.col("Date")))
+    return rows
+
+
+def _period_day(grain: Grain) -> Column:
+    return (dates.weekly_date if grain is WEEKLY else dates.period_date)(F.col("Date"))
 
 
 def normalize_period(raw: DataFrame, grain: Grain) -> DataFrame:
     """Weekly and monthly feeds; ``Region`` holds the market of the delivery."""
-    parsed = _parsed_period(raw, grain).filter(F.col("_day").isNotNull())
+    parsed = _readable(_period_numbers(raw, grain), _period_day(grain))
     day, kpi = dates.business_text(F.col("_day")), upper_strip(or_text(F.col("KPI name"), "nan"))
     return parsed.select(
         keys.input_id(F.col("Region"), kpi, day, grain.suffix).alias("Input_ID"),
@@ -119,8 +128,7 @@ def normalize_period(raw: DataFrame, grain: Grain) -> DataFrame:
 
 
 def quarantine_period(raw: DataFrame, grain: Grain) -> DataFrame:
-    rejected = _parsed_period(raw, grain).filter(F.col("_day").isNull())
-    return rejected.drop("_day").withColumn("reason", F.lit("unreadable date"))
+    return _unreadable(_period_numbers(raw, grain), _period_day(grain))
 
 
 def resolve_market(
@@ -143,11 +151,9 @@ def unknown_markets(rows: DataFrame, market_map: DataFrame, code: str = "Region"
 
 def normalize_ims(raw: DataFrame) -> DataFrame:
     """The value stays as delivered."""
-    parsed = raw.filter(F.col("Date").isNotNull() & (F.col("Date") != "")).withColumn(
-        "_day", dates.period_date(F.col("Date"))
-    )
+    dated = raw.filter(F.col("Date").isNotNull() & (F.col("Date") != ""))
     day, kpi = dates.business_text(F.col("_day")), F.upper(or_text(F.col("KPI name"), "nan"))
-    return parsed.filter(F.col("_day").isNotNull()).select(
+    return _readable(dated, dates.period_date(F.col("Date"))).select(
         day.alias("Date"),
         kpi.alias("KPI name"),
         "Value",
