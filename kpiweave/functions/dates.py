@@ -26,15 +26,16 @@ def business_text(day: Column) -> Column:
     return F.concat_ws(".", F.substring(iso, 9, 2), F.substring(iso, 6, 2), F.substring(iso, 1, 4))
 
 
-def _iso_date(iso: Column) -> Column:
+def from_iso(iso: Column) -> Column:
+    """Date of ``yyyy-MM-dd`` text, null for other text."""
     return F.when(F.rlike(iso, F.lit(_ISO)), iso.try_cast("date"))
 
 
-def daily_date(value: Column, fmt: str = DAILY_FORMAT) -> Column:
-    """P9."""
+def daily_iso(value: Column, fmt: str = DAILY_FORMAT) -> Column:
+    """The date part as ``yyyy-MM-dd``; text in another format stays what it is."""
     if fmt == DAILY_FORMAT:
-        return _iso_date(F.regexp_replace(value, _DAILY_STAMP, "$1-$2-$3"))
-    return F.to_date(F.try_to_timestamp(value, F.lit(fmt)))
+        return F.regexp_replace(value, _DAILY_STAMP, "$1-$2-$3")
+    return F.to_date(F.try_to_timestamp(value, F.lit(fmt))).cast("string")
 
 
 def _without_time(value: Column) -> Column:
@@ -53,15 +54,27 @@ def _named_to_iso(text: Column) -> Column:
     return F.concat(century, year, F.lit("-"), month.cast("string"), F.lit("-"), F.substring(text, 1, 2))
 
 
-def weekly_date(value: Column) -> Column:
+def weekly_iso(value: Column) -> Column:
     """P10: ``dd.MM.yyyy``, ``dd-MMM-yy`` (years from 69 on are 19xx) or ``yyyy-MM-dd``."""
     text = _without_time(value)
-    return _iso_date(F.when(F.rlike(text, F.lit(_NAMED_MONTH)), _named_to_iso(text)).otherwise(_dotted_to_iso(text)))
+    return F.when(F.rlike(text, F.lit(_NAMED_MONTH)), _named_to_iso(text)).otherwise(_dotted_to_iso(text))
 
 
-def period_date(value: Column) -> Column:
+def period_iso(value: Column) -> Column:
     """``dd.MM.yyyy`` or ``yyyy-MM-dd``."""
-    return _iso_date(_dotted_to_iso(_without_time(value)))
+    return _dotted_to_iso(_without_time(value))
+
+
+def daily_date(value: Column, fmt: str = DAILY_FORMAT) -> Column:
+    return from_iso(daily_iso(value, fmt))
+
+
+def weekly_date(value: Column) -> Column:
+    return from_iso(weekly_iso(value))
+
+
+def period_date(value: Column) -> Column:
+    return from_iso(period_iso(value))
 
 
 def _business_day(value: Column) -> Column:

@@ -48,19 +48,21 @@ def grid(
 def attribute_variants(rows: DataFrame, attributes: Sequence[str]) -> DataFrame:
     """Per key every combination of the attribute values it was delivered with.
 
-    Keys with one attribute tuple (the rule, a key being delivered once) pass straight through; only
-    the others go through the chain of joins over distinct (key, attribute) pairs.
+    A key with one attribute tuple (the rule, as a key is delivered once) keeps its own values; only
+    keys with several take part in the chain of joins over distinct (key, attribute) pairs.
     """
     tuples = rows.select("Input_ID", *attributes).distinct()
-    counted = tuples.groupBy("Input_ID").agg(
-        F.count(F.lit(1)).alias("_tuples"), *[F.max(a).alias(a) for a in attributes]
+    keys_ = tuples.groupBy("Input_ID").agg(
+        (F.count(F.lit(1)) > 1).alias("_several"), *[F.max(a).alias(a) for a in attributes]
     )
-    single = counted.filter(F.col("_tuples") == 1).drop("_tuples")
-    several = counted.filter(F.col("_tuples") > 1).select("Input_ID")
-    combined = several
+    several = tuples.join(keys_.filter("_several").select("Input_ID"), "Input_ID", "left_semi")
+    combined = keys_
     for attribute in attributes:
-        combined = combined.join(tuples.select("Input_ID", attribute).distinct(), "Input_ID")
-    return single.unionByName(combined)
+        pairs = several.select("Input_ID", F.col(attribute).alias(f"_{attribute}")).distinct()
+        combined = combined.join(pairs, "Input_ID", "left")
+    return combined.select(
+        "Input_ID", *[F.when(F.col("_several"), F.col(f"_{a}")).otherwise(F.col(a)).alias(a) for a in attributes]
+    )
 
 
 def _delivered(output: DataFrame) -> DataFrame:

@@ -25,15 +25,15 @@ def _provenance(raw: DataFrame) -> list[str]:
     return [c for c in PROVENANCE if c in raw.columns]
 
 
-def _readable(rows: DataFrame, day: Column) -> DataFrame:
-    """Rows with a readable date, as column _day. A filter on it would be pushed down and parse every
-    date twice; the generator drops the rows without one where they are."""
-    parsed = rows.withColumn("_parsed", day)
-    return parsed.select("*", F.explode(F.array_compact(F.array("_parsed"))).alias("_day"))
+def _readable(rows: DataFrame, iso: Column) -> DataFrame:
+    """Rows with a readable date, as column _day. The text rules are bound by a generator: a filter on
+    the parsed date would be pushed below it and carry all of them out a second time."""
+    bound = rows.select("*", F.explode(F.array(iso)).alias("_iso"))
+    return bound.withColumn("_day", dates.from_iso(F.col("_iso"))).filter(F.col("_day").isNotNull())
 
 
-def _unreadable(rows: DataFrame, day: Column) -> DataFrame:
-    return rows.filter(day.isNull()).withColumn("reason", F.lit("unreadable date"))
+def _unreadable(rows: DataFrame, iso: Column) -> DataFrame:
+    return rows.filter(dates.from_iso(iso).isNull()).withColumn("reason", F.lit("unreadable date"))
 
 
 def daily_lines(raw: DataFrame) -> DataFrame:
@@ -61,14 +61,14 @@ def with_file_comment(rows: DataFrame, comments: DataFrame) -> DataFrame:
     )
 
 
-def _daily_day(formats: DateFormats) -> Column:
+def _daily_iso(formats: DateFormats) -> Column:
     stamp, market = F.col("DatumKPI"), F.col("Natco")
     if isinstance(formats, str):
-        return dates.daily_date(stamp, formats)
-    day = dates.daily_date(stamp)
+        return dates.daily_iso(stamp, formats)
+    iso = dates.daily_iso(stamp)
     for code, fmt in formats.items():
-        day = F.when(market == code, dates.daily_date(stamp, fmt)).otherwise(day)
-    return day
+        iso = F.when(market == code, dates.daily_iso(stamp, fmt)).otherwise(iso)
+    return iso
 
 
 def _daily_numbers(raw: DataFrame) -> DataFrame:
@@ -76,7 +76,7 @@ def _daily_numbers(raw: DataFrame) -> DataFrame:
 
 
 def normalize_daily(raw: DataFrame, date_formats: DateFormats = dates.DAILY_FORMAT) -> DataFrame:
-    parsed = _readable(_daily_numbers(raw), _daily_day(date_formats))
+    parsed = _readable(_daily_numbers(raw), _daily_iso(date_formats))
     day, kpi = dates.business_text(F.col("_day")), upper_strip(or_text(F.col("KPINameDaily"), "<NA>"))
     return parsed.select(
         keys.input_id(F.col("Natco"), kpi, day, DAILY.suffix).alias("Input_ID"),
@@ -93,7 +93,7 @@ def normalize_daily(raw: DataFrame, date_formats: DateFormats = dates.DAILY_FORM
 
 
 def quarantine_daily(raw: DataFrame, date_formats: DateFormats = dates.DAILY_FORMAT) -> DataFrame:
-    return _unreadable(_daily_numbers(raw), _daily_day(date_formats))
+    return _unreadable(_daily_numbers(raw), _daily_iso(date_formats))
 
 
 def with_remarks(raw: DataFrame) -> DataFrame:
@@ -108,13 +108,13 @@ def _period_numbers(raw: DataFrame, grain: Grain) -> DataFrame:
     return rows
 
 
-def _period_day(grain: Grain) -> Column:
-    return (dates.weekly_date if grain is WEEKLY else dates.period_date)(F.col("Date"))
+def _period_iso(grain: Grain) -> Column:
+    return (dates.weekly_iso if grain is WEEKLY else dates.period_iso)(F.col("Date"))
 
 
 def normalize_period(raw: DataFrame, grain: Grain) -> DataFrame:
     """Weekly and monthly feeds; ``Region`` holds the market of the delivery."""
-    parsed = _readable(_period_numbers(raw, grain), _period_day(grain))
+    parsed = _readable(_period_numbers(raw, grain), _period_iso(grain))
     day, kpi = dates.business_text(F.col("_day")), upper_strip(or_text(F.col("KPI name"), "nan"))
     return parsed.select(
         keys.input_id(F.col("Region"), kpi, day, grain.suffix).alias("Input_ID"),
@@ -128,7 +128,7 @@ def normalize_period(raw: DataFrame, grain: Grain) -> DataFrame:
 
 
 def quarantine_period(raw: DataFrame, grain: Grain) -> DataFrame:
-    return _unreadable(_period_numbers(raw, grain), _period_day(grain))
+    return _unreadable(_period_numbers(raw, grain), _period_iso(grain))
 
 
 def resolve_market(
@@ -153,7 +153,7 @@ def normalize_ims(raw: DataFrame) -> DataFrame:
     """The value stays as delivered."""
     dated = raw.filter(F.col("Date").isNotNull() & (F.col("Date") != ""))
     day, kpi = dates.business_text(F.col("_day")), F.upper(or_text(F.col("KPI name"), "nan"))
-    return _readable(dated, dates.period_date(F.col("Date"))).select(
+    return _readable(dated, dates.period_iso(F.col("Date"))).select(
         day.alias("Date"),
         kpi.alias("KPI name"),
         "Value",

@@ -20,6 +20,8 @@ from kpiweave.operators import report, rollup, upsert
 from kpiweave.operators.fold import fold
 from kpiweave.operators.grain import DAILY, MONTHLY, WEEKLY, Grain
 from kpiweave.plans import views
+from kpiweave.session import prepare
+from kpiweave.sources.staging import staged
 
 DAILY_START, DAILY_AS_OF = date(2024, 1, 1), date(2024, 2, 5)
 PERIOD_START, PERIOD_AS_OF = date(1994, 12, 26), date(2001, 8, 15)
@@ -32,10 +34,11 @@ def rounded(value: Column) -> Column:
 
 
 class Feeds:
-    """The derived feeds of one data folder, with provenance columns."""
+    """The derived feeds of one data folder, with provenance columns. As in the jobs, normalised
+    deliveries are staged: they are parsed once and then read by every step that needs them."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir = spark, sf_dir
+        self.spark, self.sf_dir = prepare(spark), sf_dir
 
     def view(self, name: str) -> DataFrame:
         return views.view(self.spark, self.sf_dir, name)
@@ -66,7 +69,7 @@ class Feeds:
 
     @cached_property
     def registry(self) -> DataFrame:
-        return self.view("fx_registry")
+        return staged(self.view("fx_registry"), "registry")
 
     @cached_property
     def mapping(self) -> DataFrame:
@@ -83,21 +86,20 @@ class Feeds:
     @cached_property
     def daily(self) -> DataFrame:
         rows = normalize.normalize_daily(self.daily_raw)
-        return normalize.with_file_comment(rows, normalize.file_comments(self.daily_raw))
+        return staged(normalize.with_file_comment(rows, normalize.file_comments(self.daily_raw)), "daily")
 
     @cached_property
     def weekly(self) -> DataFrame:
-        return normalize.normalize_period(self.weekly_raw, WEEKLY)
+        return staged(normalize.normalize_period(self.weekly_raw, WEEKLY), "weekly")
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return normalize.normalize_period(self.monthly_raw, MONTHLY)
+        return staged(normalize.normalize_period(self.monthly_raw, MONTHLY), "monthly")
 
     @cached_property
     def multimarket(self) -> DataFrame:
-        return normalize.normalize_period(
-            normalize.resolve_market(self.monthly_raw, self.market_map), MONTHLY
-        )
+        resolved = normalize.resolve_market(self.monthly_raw, self.market_map)
+        return staged(normalize.normalize_period(resolved, MONTHLY), "multimarket")
 
     def rows(self, name: str) -> tuple[DataFrame, Grain]:
         return getattr(self, name), {"daily": DAILY, "weekly": WEEKLY}.get(name, MONTHLY)

@@ -18,6 +18,7 @@ from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 from kpiweave import schemas
 from kpiweave.functions.text import or_text
 from kpiweave.operators.grain import DAILY, Grain
+from kpiweave.session import prepare
 
 PARTITION = ["part_market", "part_month"]
 COMMIT_SCHEMA = StructType(
@@ -60,6 +61,9 @@ class Warehouse:
     spark: SparkSession
     root: str
 
+    def __post_init__(self) -> None:
+        prepare(self.spark)
+
     def _commits(self) -> DataFrame:
         return read_or_empty(self.spark, f"{self.root}/commits", COMMIT_SCHEMA)
 

@@ -101,9 +101,9 @@ def test_ingest_in_two_runs_equals_one(spark, tmp_path, rows, registry, market_m
     together, apart = Warehouse(spark, str(tmp_path / "w1")), Warehouse(spark, str(tmp_path / "w2"))
     for name, (lines, mtime) in files.items():
         put(tmp_path / "all" / "MA" / "daily", name, lines, mtime)
-        put(tmp_path / name / "MA" / "daily", name, lines, mtime)
+        put(tmp_path / ("first" if name == "a.csv" else "second") / "MA" / "daily", name, lines, mtime)
     jobs.run_inputs(together, registry, 1.0, daily=feeds.read_daily(spark, str(tmp_path / "all")))
-    for name in files:
+    for name in ("first", "second"):
         jobs.run_inputs(apart, registry, 1.0, daily=feeds.read_daily(spark, str(tmp_path / name)))
     for grain in (DAILY, WEEKLY, MONTHLY):
         assert rows(together.state(grain)) == rows(apart.state(grain))
