@@ -15,10 +15,15 @@ from kpiweave.operators import corrections as corr
 from kpiweave.operators.grain import DAILY, Grain
 from kpiweave.operators.upsert import Ingested, without_keys
 
-_STEP = ["Input_ID", "_from_delivery", "delivery"]
 
+def _of_keys(aggregated: DataFrame, ids: DataFrame) -> DataFrame:
+    """Restrict state aggregates to the delivered keys. Written after the aggregation, so that a hot key
+    is combined before it is shuffled; Catalyst moves the semi join below it where ``ids`` is small
+    enough to broadcast."""
+    return aggregated.join(ids, "Input_ID", "left_semi")
 
-def _steps(rows: DataFrame, touched: DataFrame, grain: Grain, compat: bool) -> DataFrame:
+
+def _steps(rows: DataFrame, state: DataFrame, ids: DataFrame, grain: Grain, compat: bool) -> DataFrame:
     """One row per key and delivery; the state is the step before the first delivery."""
     value = F.col("Value")
     measures = [
@@ -32,19 +37,15 @@ def _steps(rows: DataFrame, touched: DataFrame, grain: Grain, compat: bool) -> D
         .agg(*measures, comment.alias("_comment"))
         .withColumn("_from_delivery", F.lit(True))
     )
-    before = (
-        touched.groupBy("Input_ID")
-        .agg(*measures)
-        .withColumn("_from_delivery", F.lit(False))
-    )
+    before = _of_keys(state.groupBy("Input_ID").agg(*measures), ids).withColumn("_from_delivery", F.lit(False))
     return delivered.unionByName(before, allowMissingColumns=True)
 
 
-def _history(rows: DataFrame, touched: DataFrame, log: DataFrame, grain: Grain, compat: bool) -> DataFrame:
+def _history(steps: DataFrame, log: DataFrame, grain: Grain, compat: bool) -> DataFrame:
     """Per key and delivery the value it replaces, where that came from, and whether it is the last."""
     by_key = Window.partitionBy("Input_ID").orderBy("_from_delivery", "delivery")
     old = F.col("KPIValueOld")
-    history = _steps(rows, touched, grain, compat).select(
+    history = steps.select(
         "*",
         F.lag("_largest").over(by_key).alias("KPIValueOld"),
         F.lag("_from_delivery").over(by_key).alias("_before_from_delivery"),
@@ -68,18 +69,13 @@ def _history(rows: DataFrame, touched: DataFrame, log: DataFrame, grain: Grain,
     return history.filter(F.col("_from_delivery"))
 
 
-def _variants(rows: DataFrame, touched: DataFrame, column: str, alias: str) -> DataFrame:
+def _variants(rows: DataFrame, state: DataFrame, ids: DataFrame, column: str, alias: str) -> DataFrame:
     """Distinct attribute values per step, to be read by the step that follows."""
-    def pairs(frame, delivery, from_delivery):
-        return frame.select(
-            "Input_ID",
-            delivery.alias("_before_delivery"),
-            F.lit(from_delivery).alias("_before_from_delivery"),
-            F.col(column).alias(alias),
-        )
-
-    nothing = F.lit(None).cast(rows.schema["delivery"].dataType)
-    return pairs(rows, F.col("delivery"), True).unionByName(pairs(touched, nothing, False)).distinct()
+    before, attribute = F.col("delivery").alias("_before_delivery"), F.col(column).alias(alias)
+    delivered = rows.select("Input_ID", before, F.lit(True).alias("_before_from_delivery"), attribute).distinct()
+    stored = _of_keys(state.select("Input_ID", attribute).distinct(), ids)
+    stored = stored.withColumn("_before_from_delivery", F.lit(False))
+    return delivered.unionByName(stored, allowMissingColumns=True)
 
 
 def _with_variants(history: DataFrame, variants: DataFrame) -> DataFrame:
@@ -104,13 +100,12 @@ def fold(
 ) -> Ingested:
     """``rows``: normalised rows of any number of deliveries, ordered by ``delivery``."""
     ids = rows.select("Input_ID").distinct()
-    touched = state.join(ids, "Input_ID", "left_semi")
-    history = _history(rows, touched, log, grain, compat)
+    history = _history(_steps(rows, state, ids, grain, compat), log, grain, compat)
 
     needed = history if compat else history.filter(F.col("KPIValueOld").isNotNull())
-    old = _with_variants(needed, _variants(rows, touched, "Input_File", "FileOld"))
+    old = _with_variants(needed, _variants(rows, state, ids, "Input_File", "FileOld"))
     if grain.has_remarks:
-        old = _with_variants(old, _variants(rows, touched, "Remarks", "CommentRowOld"))
+        old = _with_variants(old, _variants(rows, state, ids, "Remarks", "CommentRowOld"))
     carried = ["KPIValueOld", "FileOld", "CommentRowOld" if grain.has_remarks else "CommentFileOld"]
     compared = rows.join(old.select("Input_ID", "delivery", *carried), ["Input_ID", "delivery"])
     new = corr.to_log(compared.filter(corr.is_correction(grain, compat, multimarket)), grain, run_ts)

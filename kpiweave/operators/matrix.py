@@ -45,13 +45,17 @@ def grid(
     )
 
 
-def attribute_variants(rows: DataFrame, attributes: Sequence[str]) -> DataFrame:
+def attribute_variants(
+    rows: DataFrame, attributes: Sequence[str], wanted: DataFrame | None = None
+) -> DataFrame:
     """Per key every combination of the attribute values it was delivered with.
 
     A key with one attribute tuple (the rule, as a key is delivered once) keeps its own values; only
     keys with several take part in the chain of joins over distinct (key, attribute) pairs.
     """
     tuples = rows.select("Input_ID", *attributes).distinct()
+    if wanted is not None:
+        tuples = tuples.join(wanted, "Input_ID", "left_semi")
     keys_ = tuples.groupBy("Input_ID").agg(
         (F.count(F.lit(1)) > 1).alias("_several"), *[F.max(a).alias(a) for a in attributes]
     )
@@ -70,11 +74,14 @@ def _delivered(output: DataFrame) -> DataFrame:
 
 
 def lookups(output: DataFrame, wanted: DataFrame, grain: Grain, compat: bool = False) -> DataFrame:
-    """Value, delivered flag and attributes for the ``wanted`` keys."""
-    rows = _delivered(output).join(wanted.select("Input_ID"), "Input_ID", "left_semi")
+    """Value, delivered flag and attributes for the ``wanted`` keys, which are picked after the
+    aggregation so that a hot key is combined before it is shuffled."""
+    rows, wanted = _delivered(output), wanted.select("Input_ID")
     values = rows.groupBy("Input_ID").agg(largest(F.col("Value"), compat).alias("KPI_Value"))
-    values = values.withColumn("IsDelivered", F.when(F.col("KPI_Value").isNull(), "0").otherwise("1"))
-    return values.join(attribute_variants(rows, _ATTRIBUTES[grain.name]), "Input_ID")
+    values = values.join(wanted, "Input_ID", "left_semi").withColumn(
+        "IsDelivered", F.when(F.col("KPI_Value").isNull(), "0").otherwise("1")
+    )
+    return values.join(attribute_variants(rows, _ATTRIBUTES[grain.name], wanted), "Input_ID")
 
 
 def matrix(
