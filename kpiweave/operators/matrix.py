@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from kpiweave import schemas
 from kpiweave.functions import dates, keys
-from kpiweave.functions.text import or_text
 from kpiweave.operators.calendar import period_dates
 from kpiweave.operators.corrections import largest
 from kpiweave.operators.grain import DAILY, WEEKLY, Grain
