@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiweave.llm.stage import written
+from kpiweave.llm.stage import parallelism, written
 
 PIECE = 256
 SECTION = 8
 DIGITS = 16
-ROWS_PER_RANGE = 50_000
+ROWS_PER_RANGE = 100_000
+BROADCAST_RANGES = 1_000_000  # of 12 bytes each; more are joined by a shuffle
 
 
 def pieces(text: Column) -> Column:
@@ -88,25 +90,26 @@ def fingerprints(docs: DataFrame, id_column: str = "doc_id", text_column: str =
     )
 
 
-def successors(keys: DataFrame, count: int) -> DataFrame:
-    """(key, next_key) over distinct (id, digest, key), in descending id (null last) and then by digest; the last is
-    followed by the first.
+def id_ranges(ids: DataFrame, ranges: int) -> list[int]:
+    """First id of each of about ``ranges`` ranges of like size, in descending order, without null.
 
-    The keys are dealt out in ranges; only a range is sorted in one task. The first key of each range stands for it when
-    ranges are linked, one row per 50,000 keys."""
-    ranges = max(1, math.ceil(count / ROWS_PER_RANGE))
-    order = [F.col("id").desc_nulls_last(), F.col("digest").asc()]
-    dealt = written(keys.repartitionByRange(ranges, *order).withColumn("range", F.spark_partition_id()), "successor-ranges")
-    heads = dealt.groupBy("range").agg(F.min_by("key", F.struct((-F.col("id")).isNull(), -F.col("id"), "digest")).alias("head"))
-    everything = Window.orderBy("range")
-    heads = heads.select(
-        "range", F.coalesce(F.lead("head").over(everything), F.first("head").over(everything)).alias("next_head")
-    )
-    return (
-        dealt.withColumn("follower", F.lead("key").over(Window.partitionBy("range").orderBy(*order)))
-        .join(heads, "range")
-        .select("key", F.coalesce("follower", "next_head").alias("next_key"))
+    One number per range comes to the driver; Spark samples the bounds, and the ranges' heads are exact."""
+    dealt = ids.where("id IS NOT NULL").repartitionByRange(ranges, F.col("id").desc())
+    heads = dealt.groupBy(F.spark_partition_id().alias("range")).agg(F.max("id").alias("head"))
+    return sorted({r["head"] for r in heads.collect()}, reverse=True)
+
+
+def range_of(id_: Column, bounds: list[int]) -> Column:
+    """Number of ``bounds`` (descending) that are at or above the id, by binary search; null ids come after all."""
+    if not bounds:
+        return F.when(id_.isNull(), 1).otherwise(0)
+    array = F.array(*[F.lit(b).cast("long") for b in bounds])
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(bounds).bit_length()))])
+    found = F.aggregate(
+        steps, F.lit(0),
+        lambda at, step: F.when((at + step <= len(bounds)) & (F.get(array, at + step - 1) >= id_), at + step).otherwise(at),
     )
+    return F.when(id_.isNull(), len(bounds) + 1).otherwise(found)
 
 
 def compare_with_next(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
@@ -114,33 +117,38 @@ def compare_with_next(docs: DataFrame, id_column: str = "doc_id", text_column: s
 
     The next document is the one with the next lower id (null ids last; after the last comes the first). Of the text of n
     code points the last floor(n / 2) are replaced by the first as many of the next text, or all it has. Rows of one id
-    follow by the digest of their texts; rows with equal id and text are one document and get equal results. A document
-    alone is its own next. Columns: id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next,
-    changed (span of the difference)."""
-    text = F.coalesce(F.col(text_column), F.lit(""))
-    id_ = F.col(id_column)
-    base = (
-        docs.select(id_.alias("id"), text.alias("text"))
-        .withColumn("digest", F.sha2("text", 256))
-        .withColumn("key", F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), "digest"))
+    follow one another by their texts, and so do equal rows; a document alone is its own next. Columns: id,
+    n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next, changed (span of the difference).
+
+    Texts move once, into ranges of ids, where each finds its successor. The bounds come from the ids alone, one number
+    for 100,000 rows. The first text of each range is fetched for the last row of the range before it."""
+    base = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
+    ids = written(base.select("id"), "fingerprint-ids")
+    count, nulls = ids.agg(F.count("*"), F.count_if(F.col("id").isNull())).first()
+    bounds = id_ranges(ids, max(4 * parallelism(docs), math.ceil(count / ROWS_PER_RANGE)))
+    ranges = [*enumerate(bounds, 1)] + [(len(bounds) + 1, None)] * (nulls > 0)
+    pairs = [{"range": number, "id": ranges[(i + 1) % len(ranges)][1]} for i, (number, _) in enumerate(ranges)]
+    listed = F.from_json(F.lit(json.dumps(pairs)), "array<struct<range: int, id: long>>")
+    following = docs.sparkSession.range(1).select(F.inline(listed))
+    following = F.broadcast(following) if len(ranges) <= BROADCAST_RANGES else following
+    head_texts = (
+        base.alias("b").join(following.alias("f"), F.col("b.id").eqNullSafe(F.col("f.id")))
+        .groupBy("f.range").agg(F.min("b.text").alias("head_text"))
     )
-    keys = written(base.groupBy("id", "digest", "key").agg(F.count("*").alias("rows")), "fingerprint-keys")
-    count, most = keys.agg(F.count("*"), F.max("rows")).first()
-    links = successors(keys.drop("rows"), count)
-    leafy = base.select("key", "id", "text", leaves(F.col("text")).alias("leaf"))
-    later = leafy if (most or 1) == 1 else leafy.dropDuplicates(["key"])
-    n = F.col("n_chars")
-    half = F.floor(n / 2).cast("int")
+    line = Window.partitionBy("range").orderBy(F.col("id").desc_nulls_last(), "text")
     joined = (
-        leafy.join(links, "key")
-        .withColumn("n_chars", F.length("text").cast("long"))
-        .select("id", "n_chars", "leaf", "next_key", half.alias("half"), F.expr("substring(text, 1, cast(n_chars - floor(n_chars / 2) as int))").alias("kept"))
-        .join(later.select(F.col("key").alias("next_key"), F.col("text").alias("next_text"), F.col("leaf").alias("next_leaf")), "next_key")
-        .withColumn("edited", F.concat("kept", F.expr("substring(next_text, 1, half)")))
+        base.withColumn("range", range_of(F.col("id"), bounds).cast("int")).repartition("range")
+        .withColumn("leaf", leaves(F.col("text")))
+        .withColumn("follower", F.lead(F.struct("text", "leaf")).over(line))
+        .join(head_texts, "range", "left")
+        .withColumn("next_text", F.when(F.col("follower").isNull(), F.col("head_text")).otherwise(F.col("follower.text")))
+        .withColumn("next_leaf", F.when(F.col("follower").isNull(), leaves(F.col("head_text"))).otherwise(F.col("follower.leaf")))
+        .withColumn("half", F.expr("cast(floor(length(text) / 2) as int)"))
+        .withColumn("edited", F.expr("concat(substring(text, 1, length(text) - half), substring(next_text, 1, half))"))
         .withColumn("edited_leaf", leaves(F.col("edited")))
     )
     return joined.select(
-        "id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
         tree(sections(F.col("leaf")), F.col("leaf")).alias("fingerprint"),
         tree(sections(F.col("edited_leaf")), F.col("edited_leaf")).alias("edited_fingerprint"),
         likeness(F.col("leaf"), F.col("edited_leaf")).alias("near_edited"),

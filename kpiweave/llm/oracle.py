@@ -99,7 +99,7 @@ def merkle() -> str:
     return f"""
 WITH base AS (SELECT doc_id, coalesce(text, '') AS text, {leaf("coalesce(text, '')")} AS leaf FROM documents),
 linked AS (SELECT *, coalesce(lead(text) OVER w, first_value(text) OVER w) AS next_text, coalesce(lead(leaf) OVER w, first_value(leaf) OVER w) AS next_leaf
-    FROM base WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, sha256(text) ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+    FROM base WINDOW w AS (ORDER BY doc_id DESC NULLS LAST, text ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
 edited AS (SELECT *, length(text) AS n, substr(text, 1, length(text) - length(text) // 2) || substr(next_text, 1, length(text) // 2) AS edited FROM linked),
 leafy AS (SELECT *, {leaf("edited")} AS edited_leaf FROM edited),
 sectioned AS (SELECT *, {section("leaf")} AS section, {section("edited_leaf")} AS edited_section,
