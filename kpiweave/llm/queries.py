@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiweave.llm import fingerprint, mixing, urlfilter
+from kpiweave.llm import fingerprint, langid, mixing, packing, quality, toxicity, urlfilter
 
 RULES = (
     ("block", "net", "/"),
@@ -28,6 +28,30 @@ def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "labels").select(
+        F.col("doc_id").alias("id"), quality.grade_of(F.col("quality"), F.col("toxic")).alias("grade")
+    )
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.learn(docs.withColumnRenamed("doc_id", "id"), ratings(spark, sf_dir))
+    return quality.scored(docs, model).drop("text")
+
+
 def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = urlfilter.judge(table(spark, sf_dir, "pages"), RULES)
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
@@ -43,6 +67,7 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
-        op1_mix_sources, op5_url_filter, op10_merkle_fingerprints,
+        op1_mix_sources, op2_pack_sequences, op3_language_id, op4_toxicity, op5_url_filter, op8_quality,
+        op10_merkle_fingerprints,
     ]
     return {f.__name__: f for f in listed}
