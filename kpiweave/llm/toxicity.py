@@ -191,7 +191,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
         labels.where(learnable(F.col("id")) & F.col("label").isin(*CLASSES))
         .select("id", F.col("label").cast("int").alias("label"), (F.floor(crc / FOLDS) % FOLDS == 0).cast("int").alias("fold"))
     )
-    counted = count_grams(docs.where(learnable(F.col("id"))).join(labelled, "id")).toPandas().sort_values("gram")
+    counted = count_grams(docs.where(learnable(F.col("id"))).join(labelled.hint("merge"), "id")).toPandas().sort_values("gram")
     if not len(counted):
         return None
     keys = counted["gram"].to_numpy().astype(np.uint32)
