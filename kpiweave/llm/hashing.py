@@ -80,8 +80,8 @@ def word_hashes(raw: bytes, lower: bool = False) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, U64)
 
 
-def batches(texts: list[bytes], size: int = BLOCK) -> Iterator[tuple[int, int]]:
-    """Ranges of ``texts`` of about ``size`` bytes each; a longer text is alone."""
+def batches(texts: list[bytes] | list[str], size: int = BLOCK) -> Iterator[tuple[int, int]]:
+    """Ranges of ``texts`` of about ``size`` bytes (characters) each; a longer text is alone."""
     at = total = 0
     for i, text in enumerate(texts):
         if i > at and total + len(text) > size:
