@@ -16,7 +16,7 @@ from kpiweave.llm.training import features, learnable, sample_ids
 
 SIZES = (1, 2, 3)
 BITS = 15
-PER_GRADE = 1500
+PER_GRADE = 1000
 EPOCHS = 12
 RATE = 0.5
 DECAY = 1e-5

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiweave.llm import fingerprint, langid, mixing, packing, quality, toxicity, urlfilter
+from kpiweave.llm import fingerprint, langid, mixing, neardup, packing, quality, toxicity, urlfilter
 
 RULES = (
     ("block", "net", "/"),
@@ -40,6 +40,13 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
 
 
+def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
+    return found.select(
+        F.col("id").alias("doc_id"), "n_shingles", "component_id", F.col("id").eqNullSafe(F.col("component_id")).alias("kept")
+    )
+
+
 def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "labels").select(
         F.col("doc_id").alias("id"), quality.grade_of(F.col("quality"), F.col("toxic")).alias("grade")
@@ -67,7 +74,7 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
-        op1_mix_sources, op2_pack_sequences, op3_language_id, op4_toxicity, op5_url_filter, op8_quality,
+        op1_mix_sources, op2_pack_sequences, op3_language_id, op4_toxicity, op5_url_filter, op7_near_duplicates, op8_quality,
         op10_merkle_fingerprints,
     ]
     return {f.__name__: f for f in listed}

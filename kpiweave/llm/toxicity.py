@@ -18,7 +18,7 @@ from kpiweave.llm.training import FOLDS, held_out, learnable
 
 ORDER = 4
 TABLE_BITS = 22
-PER_CLASS = 1500
+PER_CLASS = 1000
 NORM = 0.75  # between the mean, which few words in a long text hardly move, and the root, which long texts' noise moves
 CLASSES = (0, 1)
 
