@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -91,8 +91,8 @@ def near_duplicates(
 
     Texts are linked where 100 times the common shingles are at least ``percent`` times all of both. Texts with equal sets
     are one class, compared once. Classes whose signatures share a band are candidates: first each with the least class of
-    its band, then, where a band still holds several components, all those of different components, block by block inside
-    tasks. A candidate goes on while the posterior of its signatures allows the similarity (``miss``: the probability
+    its band; then, where a band still holds several components, block by block inside tasks, with the most central class;
+    then all those that still are in different components. A candidate goes on while the posterior of its signatures allows the similarity (``miss``: the probability
     below which it is pruned), and is a link if the full sets say so. What the signatures miss is a pair near the threshold
     in about one of 10,000; pairs that are more alike are found.
 
@@ -102,20 +102,24 @@ def near_duplicates(
     facts = written(_facts(docs, words, id_column, text_column), "near-facts")
     classes = written(
         facts.where("set IS NOT NULL").groupBy("set").agg(
-            F.min("id").alias("least_id"), F.min(F.struct("id", "signature"))["signature"].alias("signature"), F.first("n_shingles").alias("n"),
+            F.min("id").alias("least_id"), F.min(F.struct("id", "signature"))["signature"].alias("signature"),
         ),
         "near-classes",
     )
     bands = _bands(classes)
     heads = bands.groupBy("band").agg(F.min("set").alias("head"), F.count("*").alias("members")).where("members > 1")
     members = written(bands.join(heads, "band"), "near-members")
+    full = written(_full_sets(docs, classes, members, words, id_column, text_column), "near-sets")
     least = fewest_matches(percent / 100, miss)
-    first = members.where("set <> head").select(F.col("head").alias("a"), F.col("set").alias("b")).distinct()
-    first = written(_pruned(first, classes, least), "near-first")
-    links = written(_verified(first, docs, classes, words, percent, id_column, text_column), "near-links")
-    rest = written(_between(members, classes, components(links), least), "near-between")
-    more = _verified(rest.join(first, ["a", "b"], "left_anti"), docs, classes, words, percent, id_column, text_column)
-    roots = components(links.unionByName(more))
+    tried = members.where("set <> head").select(F.col("head").alias("a"), F.col("set").alias("b")).distinct()
+    tried = written(_pruned(tried, classes, least), "near-first")
+    links = written(_verified(tried, full, percent), "near-links")
+    for name, compare in (("centres", to_centre), ("between", between)):
+        pairs = _blockwise(members, classes, components(links), compare, least).join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        pairs = written(pairs, f"near-{name}")
+        links = written(links.unionByName(_verified(pairs, full, percent)), "near-links")
+        tried = tried.unionByName(pairs)
+    roots = components(links)
     named = (
         classes.join(roots, classes["set"] == roots["node"], "left")
         .select("set", F.coalesce("root", "set").alias("root"), "least_id")
@@ -141,10 +145,10 @@ def _facts(docs: DataFrame, words: int, id_column: str, text_column: str) -> Dat
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """(band, set): one row for each band of a class."""
+    """(number, band, set): one row for each band of a class."""
     width = ROWS * 4
-    key = lambda i: F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width))
-    return classes.select("set", F.explode(F.array(*[key(i) for i in range(BANDS)])).alias("band"))
+    key = lambda i: F.struct(F.lit(i).alias("number"), F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)).alias("band"))
+    return classes.select("set", F.inline(F.array(*[key(i) for i in range(BANDS)])))
 
 
 def _pruned(pairs: DataFrame, classes: DataFrame, least: dict[int, int]) -> DataFrame:
@@ -154,54 +158,72 @@ def _pruned(pairs: DataFrame, classes: DataFrame, least: dict[int, int]) -> Data
     def allowed(a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(similar(_signatures(a), _signatures(b), least))
 
-    of = lambda name: classes.select(F.col("set").alias(name), F.col("signature").alias(f"signature_{name}"), F.col("n").alias(f"n_{name}"))
-    return pairs.join(of("b"), "b").join(of("a"), "a").where(allowed("signature_a", "signature_b")).select("a", "b", "n_a", "n_b")
-
-
-def _between(members: DataFrame, classes: DataFrame, roots: DataFrame, least: dict[int, int]) -> DataFrame:
-    """Pairs of different components within bands of three classes and more, their signatures compared in blocks."""
-
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        sets, blocks, parts = frame["set"].tolist(), frame["block"].to_numpy(), frame["root"].tolist()
-        code = pd.factorize(pd.Series(parts))[0]
-        marks = _signatures(frame["signature"])
-        low, high = int(frame["low"].iloc[0]), int(frame["high"].iloc[0])
-        rights = np.flatnonzero(blocks == high)
-        found: list[tuple[bytes, bytes]] = []
-        for i in np.flatnonzero(blocks == low).tolist():
-            js = rights[code[rights] != code[i]]
-            js = js[js > i] if low == high else js
-            if len(js):
-                ok = similar(np.broadcast_to(marks[i], (len(js), HASHES)), marks[js], least)
-                found += [(min(sets[i], sets[j]), max(sets[i], sets[j])) for j in js[ok].tolist()]
+    of = lambda name: classes.select(F.col("set").alias(name), F.col("signature").alias(f"signature_{name}"))
+    return pairs.join(of("b"), "b").join(of("a"), "a").where(allowed("signature_a", "signature_b")).select("a", "b")
+
+
+Pairs = list[tuple[bytes, bytes]]
+
+
+def to_centre(sets: list[bytes], marks: np.ndarray, parts: np.ndarray, sides: np.ndarray, number: int, least: dict[int, int]) -> Pairs:
+    """Pairs of the most central member of a block, the one nearest to the most common value of each hash, with members of
+    other components. Copies of one text differ less from it than from each other."""
+    ordered = np.sort(marks, axis=0)
+    middle = ordered[len(ordered) // 2]  # a value that most have is in the middle
+    centre = int((marks == middle).sum(1).argmax())
+    others = np.flatnonzero(parts != parts[centre])
+    ok = similar(np.broadcast_to(marks[centre], (len(others), HASHES)), marks[others], least)
+    return [_pair(sets[centre], sets[j]) for j in others[ok].tolist()]
+
+
+def between(sets: list[bytes], marks: np.ndarray, parts: np.ndarray, sides: np.ndarray, number: int, least: dict[int, int]) -> Pairs:
+    """All pairs of different components between the two sides of a block, each in the first band where they meet."""
+    found: Pairs = []
+    rights = np.flatnonzero(sides & 2)
+    for i in np.flatnonzero(sides & 1).tolist():
+        js = rights[parts[rights] != parts[i]]
+        js = js[(js > i) | (sides[js] != 3)]
+        if len(js):
+            js = js[similar(np.broadcast_to(marks[i], (len(js), HASHES)), marks[js], least)]
+            first = (marks[js] == marks[i]).reshape(len(js), BANDS, ROWS).all(2).argmax(1)
+            found += [_pair(sets[i], sets[j]) for j in js[first == number].tolist()]
+    return found
+
+
+def _pair(a: bytes, b: bytes) -> tuple[bytes, bytes]:
+    return (a, b) if a < b else (b, a)
+
+
+def _blockwise(members: DataFrame, classes: DataFrame, roots: DataFrame, compare: Callable[..., Pairs], least: dict[int, int]) -> DataFrame:
+    """Pairs that ``compare`` finds in bands that hold several components, in blocks of two times about 1000 members, so
+    that a band of any size is many tasks. Only signatures meet here, and only pairs that are not pruned come out."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("set", ignore_index=True)
+        blocks, low, high = frame["block"].to_numpy(), int(frame["low"].iloc[0]), int(frame["high"].iloc[0])
+        sides = (blocks == low) * 1 + (blocks == high) * 2
+        parts = pd.factorize(frame["root"])[0]
+        found = compare(frame["set"].tolist(), _signatures(frame["signature"]), parts, sides, int(frame["number"].iloc[0]), least)
         return pd.DataFrame(found, columns=["a", "b"])
 
     placed = (
         members.where("members > 2").join(roots, members["set"] == roots["node"], "left")
-        .select("band", "set", F.coalesce("root", "set").alias("root"))
+        .select("number", "band", "set", F.coalesce("root", "set").alias("root"))
     )
-    open_bands = placed.groupBy("band").agg(F.count("*").alias("size"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1").select("band", "size")
-    blocks = F.ceil(F.col("size") / MEMBERS).cast("int")
+    several = placed.groupBy("band").agg(F.count("*").alias("size"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
     spread = (
-        placed.join(open_bands, "band").withColumn("blocks", blocks)
+        placed.join(several.select("band", F.ceil(F.col("size") / MEMBERS).cast("int").alias("blocks")), "band")
         .withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("band", "set", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
+        .select("number", "band", "set", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
         .join(classes.select("set", "signature"), "set")
     )
-    pairs = spread.groupBy("band", "low", "high").applyInPandas(compare, "a binary, b binary").distinct()
-    of = lambda name: classes.select(F.col("set").alias(name), F.col("n").alias(f"n_{name}"))
-    return pairs.join(of("a"), "a").join(of("b"), "b").select("a", "b", "n_a", "n_b")
+    return spread.groupBy("band", "low", "high").applyInPandas(run, "a binary, b binary").distinct()
 
 
-def _verified(
-    pairs: DataFrame, docs: DataFrame, classes: DataFrame, words: int, percent: int, id_column: str, text_column: str
-) -> DataFrame:
-    """Pairs whose full sets reach the similarity, as (a, b). Texts of the classes concerned are read again."""
-    # sets whose sizes differ too much cannot
-    possible = pairs.where(F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
-    concerned = possible.select(F.col("a").alias("set")).unionByName(possible.select(F.col("b").alias("set"))).distinct()
-    wanted = classes.join(concerned, "set", "left_semi").select("set", "least_id")
+def _full_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, words: int, id_column: str, text_column: str) -> DataFrame:
+    """(set, shingles) of each class that shares a band with another; their texts are read again, once."""
+    wanted = classes.join(members.select("set").distinct(), "set", "left_semi").select("set", "least_id")
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
@@ -212,15 +234,19 @@ def _verified(
             })
 
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
-    full = (
+    return (
         texts.join(wanted, texts["id"].eqNullSafe(wanted["least_id"])).select("set", "text")
         .mapInPandas(sets, "set binary, shingles array<long>").dropDuplicates(["set"])
     )
-    full = written(full, "near-sets")
-    common = F.size(F.array_intersect("shingles_a", "shingles_b"))
+
+
+def _verified(pairs: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+    """Pairs whose full sets reach the similarity, as (a, b)."""
+    of = lambda name: full.select(F.col("set").alias(name), F.col("shingles").alias(f"shingles_{name}"))
+    n_a, n_b, common = F.size("shingles_a"), F.size("shingles_b"), F.size(F.array_intersect("shingles_a", "shingles_b"))
     return (
-        possible.join(full.select(F.col("set").alias("b"), F.col("shingles").alias("shingles_b")), "b")
-        .join(full.select(F.col("set").alias("a"), F.col("shingles").alias("shingles_a")), "a")
-        .where(common * 100 >= (F.col("n_a") + F.col("n_b") - common) * percent)
+        pairs.join(of("b"), "b").join(of("a"), "a")
+        .where(F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent)
+        .where(common * 100 >= (n_a + n_b - common) * percent)
         .select("a", "b")
     )
