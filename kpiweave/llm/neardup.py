@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -19,7 +19,7 @@ BANDS, ROWS = 24, 5  # a pair at 0.8 meets in some band but for 7 in 100,000
 HASHES = BANDS * ROWS
 STEP = 24
 MISS = 1e-5
-MEMBERS = 1000
+MEMBERS, SHINGLES = 1000, 2_000_000
 
 _RNG = np.random.default_rng(20240229)
 _FACTORS = _RNG.integers(0, 1 << 31, HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
@@ -91,8 +91,8 @@ def near_duplicates(
 
     Texts are linked where 100 times the common shingles are at least ``percent`` times all of both. Texts with equal sets
     are one class, compared once. Classes whose signatures share a band are candidates: first each with the least class of
-    its band; then, where a band still holds several components, block by block inside tasks, with the most central class;
-    then all those that still are in different components. A candidate goes on while the posterior of its signatures allows the similarity (``miss``: the probability
+    its band; then, where a band still holds several components, all those of different components, block by block inside
+    tasks, the likeliest first. A candidate goes on while the posterior of its signatures allows the similarity (``miss``: the probability
     below which it is pruned), and is a link if the full sets say so. What the signatures miss is a pair near the threshold
     in about one of 10,000; pairs that are more alike are found.
 
@@ -103,6 +103,7 @@ def near_duplicates(
     classes = written(
         facts.where("set IS NOT NULL").groupBy("set").agg(
             F.min("id").alias("least_id"), F.min(F.struct("id", "signature"))["signature"].alias("signature"),
+            F.first("n_shingles").alias("n"),
         ),
         "near-classes",
     )
@@ -111,14 +112,9 @@ def near_duplicates(
     members = written(bands.join(heads, "band"), "near-members")
     full = written(_full_sets(docs, classes, members, words, id_column, text_column), "near-sets")
     least = fewest_matches(percent / 100, miss)
-    tried = members.where("set <> head").select(F.col("head").alias("a"), F.col("set").alias("b")).distinct()
-    tried = written(_pruned(tried, classes, least), "near-first")
-    links = written(_verified(tried, full, percent), "near-links")
-    for name, compare in (("centres", to_centre), ("between", between)):
-        pairs = _blockwise(members, classes, components(links), compare, least).join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        pairs = written(pairs, f"near-{name}")
-        links = written(links.unionByName(_verified(pairs, full, percent)), "near-links")
-        tried = tried.unionByName(pairs)
+    first = members.where("set <> head").select(F.col("head").alias("a"), F.col("set").alias("b")).distinct()
+    links = written(_verified(_pruned(first, classes, least), full, percent), "near-links")
+    links = links.unionByName(_between(members, full, components(links), least, percent))
     roots = components(links)
     named = (
         classes.join(roots, classes["set"] == roots["node"], "left")
@@ -145,10 +141,10 @@ def _facts(docs: DataFrame, words: int, id_column: str, text_column: str) -> Dat
 
 
 def _bands(classes: DataFrame) -> DataFrame:
-    """(number, band, set): one row for each band of a class."""
+    """(number, band, set, n): one row for each band of a class."""
     width = ROWS * 4
     key = lambda i: F.struct(F.lit(i).alias("number"), F.xxhash64(F.lit(i), F.substring("signature", i * width + 1, width)).alias("band"))
-    return classes.select("set", F.inline(F.array(*[key(i) for i in range(BANDS)])))
+    return classes.select("set", "n", F.inline(F.array(*[key(i) for i in range(BANDS)])))
 
 
 def _pruned(pairs: DataFrame, classes: DataFrame, least: dict[int, int]) -> DataFrame:
@@ -162,81 +158,71 @@ def _pruned(pairs: DataFrame, classes: DataFrame, least: dict[int, int]) -> Data
     return pairs.join(of("b"), "b").join(of("a"), "a").where(allowed("signature_a", "signature_b")).select("a", "b")
 
 
-Pairs = list[tuple[bytes, bytes]]
+def _between(members: DataFrame, full: DataFrame, roots: DataFrame, least: dict[int, int], percent: int) -> DataFrame:
+    """Links between components within bands that hold several, as (a, b): enough of them to connect what is connected.
 
+    Each pair is looked at in the first band where it meets, unless it is connected by then, and is verified on the full
+    sets at once: what comes out are links, at most one for each member. A band is dealt out in pairs of blocks of about
+    1000 members or 2 million shingles, so that one of any size is many tasks."""
 
-def to_centre(sets: list[bytes], marks: np.ndarray, parts: np.ndarray, sides: np.ndarray, number: int, least: dict[int, int]) -> Pairs:
-    """Pairs of the most central member of a block, the one nearest to the most common value of each hash, with members of
-    other components. Copies of one text differ less from it than from each other."""
-    ordered = np.sort(marks, axis=0)
-    middle = ordered[len(ordered) // 2]  # a value that most have is in the middle
-    centre = int((marks == middle).sum(1).argmax())
-    others = np.flatnonzero(parts != parts[centre])
-    ok = similar(np.broadcast_to(marks[centre], (len(others), HASHES)), marks[others], least)
-    return [_pair(sets[centre], sets[j]) for j in others[ok].tolist()]
-
-
-def between(sets: list[bytes], marks: np.ndarray, parts: np.ndarray, sides: np.ndarray, number: int, least: dict[int, int]) -> Pairs:
-    """All pairs of different components between the two sides of a block, each in the first band where they meet."""
-    found: Pairs = []
-    rights = np.flatnonzero(sides & 2)
-    for i in np.flatnonzero(sides & 1).tolist():
-        js = rights[parts[rights] != parts[i]]
-        js = js[(js > i) | (sides[js] != 3)]
-        if len(js):
-            js = js[similar(np.broadcast_to(marks[i], (len(js), HASHES)), marks[js], least)]
-            first = (marks[js] == marks[i]).reshape(len(js), BANDS, ROWS).all(2).argmax(1)
-            found += [_pair(sets[i], sets[j]) for j in js[first == number].tolist()]
-    return found
-
-
-def _pair(a: bytes, b: bytes) -> tuple[bytes, bytes]:
-    return (a, b) if a < b else (b, a)
-
-
-def _blockwise(members: DataFrame, classes: DataFrame, roots: DataFrame, compare: Callable[..., Pairs], least: dict[int, int]) -> DataFrame:
-    """Pairs that ``compare`` finds in bands that hold several components, in blocks of two times about 1000 members, so
-    that a band of any size is many tasks. Only signatures meet here, and only pairs that are not pruned come out."""
-
-    def run(frame: pd.DataFrame) -> pd.DataFrame:
+    def link(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("set", ignore_index=True)
-        blocks, low, high = frame["block"].to_numpy(), int(frame["low"].iloc[0]), int(frame["high"].iloc[0])
-        sides = (blocks == low) * 1 + (blocks == high) * 2
-        parts = pd.factorize(frame["root"])[0]
-        found = compare(frame["set"].tolist(), _signatures(frame["signature"]), parts, sides, int(frame["number"].iloc[0]), least)
+        names, shingles, number = frame["set"].tolist(), frame["shingles"].tolist(), int(frame["number"].iloc[0])
+        marks, label = _signatures(frame["signature"]), pd.factorize(frame["root"])[0]
+        sizes, blocks = np.array([len(s) for s in shingles]), frame["block"].to_numpy()
+        lefts, rights = (np.flatnonzero(blocks == int(frame[side].iloc[0])) for side in ("low", "high"))
+        same_block, found = int(frame["low"].iloc[0]) == int(frame["high"].iloc[0]), []
+        for i in lefts.tolist():
+            js = rights[label[rights] != label[i]]
+            js = js[js > i] if same_block else js
+            js = js[np.minimum(sizes[js], sizes[i]) * 100 >= np.maximum(sizes[js], sizes[i]) * percent]
+            js = js[similar(np.broadcast_to(marks[i], (len(js), HASHES)), marks[js], least)]
+            equal = marks[js] == marks[i]
+            here = equal.reshape(len(js), BANDS, ROWS).all(2).argmax(1) == number
+            js, matches = js[here], equal[here].sum(1)
+            for j in js[np.argsort(-matches, kind="stable")].tolist():
+                if label[i] == label[j]:
+                    continue
+                common = len(np.intersect1d(shingles[i], shingles[j], assume_unique=True))
+                if common * 100 >= (sizes[i] + sizes[j] - common) * percent:
+                    found.append((names[i], names[j]))
+                    label[label == label[j]] = label[i]
         return pd.DataFrame(found, columns=["a", "b"])
 
     placed = (
         members.where("members > 2").join(roots, members["set"] == roots["node"], "left")
-        .select("number", "band", "set", F.coalesce("root", "set").alias("root"))
+        .select("number", "band", "set", "n", F.coalesce("root", "set").alias("root"))
     )
-    several = placed.groupBy("band").agg(F.count("*").alias("size"), F.min("root").alias("r0"), F.max("root").alias("r1")).where("r0 <> r1")
+    several = placed.groupBy("band").agg(
+        F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("n") / SHINGLES)).cast("int").alias("blocks"),
+        F.min("root").alias("r0"), F.max("root").alias("r1"),
+    ).where("r0 <> r1").select("band", "blocks")
     spread = (
-        placed.join(several.select("band", F.ceil(F.col("size") / MEMBERS).cast("int").alias("blocks")), "band")
+        placed.join(several, "band")
         .withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select("number", "band", "set", "root", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"))
-        .join(classes.select("set", "signature"), "set")
+        .join(full, "set")
     )
-    return spread.groupBy("band", "low", "high").applyInPandas(run, "a binary, b binary").distinct()
+    return spread.groupBy("band", "low", "high").applyInPandas(link, "a binary, b binary")
 
 
 def _full_sets(docs: DataFrame, classes: DataFrame, members: DataFrame, words: int, id_column: str, text_column: str) -> DataFrame:
-    """(set, shingles) of each class that shares a band with another; their texts are read again, once."""
-    wanted = classes.join(members.select("set").distinct(), "set", "left_semi").select("set", "least_id")
+    """(set, signature, shingles) of each class that shares a band with another; their texts are read again, once."""
+    wanted = classes.join(members.select("set").distinct(), "set", "left_semi").select("set", "least_id", "signature")
 
     def sets(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             found = list(shingle_sets(encode(frame["text"]), words))
             same = np.array([set_key(f) == bytes(k) for f, k in zip(found, frame["set"])], bool)
             yield pd.DataFrame({
-                "set": frame["set"][same].array, "shingles": [f.view(np.int64) for f, ok in zip(found, same) if ok]
+                "set": frame["set"][same].array, "signature": frame["signature"][same].array, "shingles": [f.view(np.int64) for f, ok in zip(found, same) if ok]
             })
 
     texts = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     return (
-        texts.join(wanted, texts["id"].eqNullSafe(wanted["least_id"])).select("set", "text")
-        .mapInPandas(sets, "set binary, shingles array<long>").dropDuplicates(["set"])
+        texts.join(wanted, texts["id"].eqNullSafe(wanted["least_id"])).select("set", "signature", "text")
+        .mapInPandas(sets, "set binary, signature binary, shingles array<long>").dropDuplicates(["set"])
     )
 
 
