@@ -1,28 +1,73 @@
-"""The corpus pipeline: each stage takes (spark, docs, sf_dir) and returns what it keeps of ``docs``."""
+"""The corpus pipeline: each stage takes (spark, docs, sf_dir) and returns what it keeps of ``docs``.
+
+All stages but the last return the columns of ``documents``, whatever columns those are; they work on rows, so a row that
+comes twice is handled as two documents unless a stage says otherwise. An empty table passes through all stages empty."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from kpiweave.llm import mixing
+from kpiweave.llm import mixing, neardup, packing, quality, substrings
+from kpiweave.llm.queries import ratings, table
 from kpiweave.llm.stage import written
 
 
+def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose probability of a good grade is at least one half, after the ratings in ``labels``. Null and empty
+    texts are judged by the model's cuts alone, that is by how common good grades are."""
+    model = quality.learn(docs.select(F.col("doc_id").alias("id"), "text"), ratings(spark, sf_dir))
+    return quality.scored(docs, model, prefix="__").where("__keep").select(*[f"`{c}`" for c in docs.columns])
+
+
+def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of texts that are alike in 80% of their shingles of five words: the one of the least id.
+    Texts without words stay. Of rows with equal id and equal shingles one stays."""
+    found = neardup.near_duplicates(docs, words=5, percent=80)
+    kept = written(found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").agg(F.count("*").alias("n")), "pipeline-kept")
+    ids = kept.select(F.col("id").alias("__id"), (F.col("n") > 1).alias("__repeated"))
+    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]))
+    once = rows.where("NOT __repeated").select(*[docs[c] for c in docs.columns])
+    if kept.where("n > 1").isEmpty():
+        return once
+    again = rows.where("__repeated").withColumn("__text", F.lower(F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]+", " ")))
+    again = again.dropDuplicates(["__id", "__text"]).select(*[docs[c] for c in docs.columns])
+    return once.unionByName(again)
+
+
+def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the words of passages of 35 words and more that also start elsewhere, with their lengths set anew.
+    Rows stay even where nothing of their text does."""
+    rest = substrings.without_repeats(docs, window=35)
+    if "n_chars" in docs.columns:
+        rest = rest.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return rest
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: sources weigh 3, 1, 2 in turn and share 150% of all words."""
     return mixing.emit(docs, weights=(3, 1, 2), share=1.5, limit=2.0)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of sequences of at most 2048 tokens; a document that comes twice is packed twice."""
+    return packing.pack(docs).withColumnRenamed("id", "doc_id")
+
+
 STAGES = [
+    ("quality classifier", good_quality),
+    ("near duplicates", without_near_copies),
+    ("substring dedup", without_repeated_passages),
     ("mixing", mixed),
+    ("packing", packed),
 ]
 
-# Classifier training, hashing and tokenization have no SQL form; tests compare the stages with brute force.
+# Training, hashing and tokenization have no SQL form; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = written(stage(spark, docs, sf_dir), f"pipeline-{name.replace(' ', '-')}")
     return docs

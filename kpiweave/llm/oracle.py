@@ -114,9 +114,19 @@ FROM cut
 """
 
 
+TOP_K = """
+WITH coded AS (SELECT vec_id, list_sum(list_transform(range(0, 64), lambda i: CASE WHEN coalesce(embedding[i + 1], 0) > 0 THEN 1::HUGEINT << i::INT ELSE 0::HUGEINT END))::UBIGINT AS code
+    FROM embeddings WHERE embedding IS NOT NULL),
+pairs AS (SELECT q.vec_id AS query_id, c.vec_id, bit_count(xor(q.code, c.code))::INT AS distance FROM coded q JOIN coded c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS rank, vec_id, distance FROM pairs
+QUALIFY rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mix_sources": MIX,
         "op5_url_filter": url_filter(),
+        "op6_exact_top_k": TOP_K,
         "op10_merkle_fingerprints": merkle(),
     }

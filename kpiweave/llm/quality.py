@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructType
 
 from kpiweave.llm import ngrams
 from kpiweave.llm.stage import on_workers
@@ -119,19 +120,26 @@ def learn(docs: DataFrame, ratings: DataFrame, per_grade: int = PER_GRADE) -> Mo
     return fit(features(docs.select("id", "text"), sample_ids(labelled, per_grade), normal, SIZES, BITS))
 
 
-def scored(docs: DataFrame, model: Model | None, text_column: str = "text", good: int = GOOD) -> DataFrame:
-    """``docs`` with expected_grade, tail (probability of a grade of ``good`` or more) and keep (tail at least 0.5) added.
+def scored(docs: DataFrame, model: Model | None, text_column: str = "text", good: int = GOOD, prefix: str = "") -> DataFrame:
+    """``docs`` with expected_grade, tail (probability of a grade of ``good`` or more) and keep (tail at least 0.5) added,
+    their names after ``prefix``; columns of the same names are replaced.
 
-    Null and empty texts get the model's bare cuts. Without labels to learn from, grade is null, tail 1 and all is kept."""
+    Null and empty texts get the model's bare cuts. Without labels to learn from, grade is null, tail 1 and all is kept.
+    Rows are judged one by one."""
 
-    @F.pandas_udf("expected_grade double, tail double")
+    @F.pandas_udf(StructType().add("expected_grade", DoubleType()).add("tail", DoubleType()))
     def predict(texts: pd.Series) -> pd.DataFrame:
         if model is None:
             return pd.DataFrame({"expected_grade": [None] * len(texts), "tail": 1.0})
         return model.predict(texts.tolist(), good)
 
-    names = [c for c in docs.columns if c not in ("expected_grade", "tail", "keep")]
+    added = {f"{prefix}{c}" for c in ("expected_grade", "tail", "keep")}
+    names = [f"`{c}`" for c in docs.columns if c not in added]
+    found = F.col("__quality")
     return (
         on_workers(docs).select(*names, predict(F.col(text_column)).alias("__quality"))
-        .select(*names, "__quality.expected_grade", "__quality.tail", (F.col("__quality.tail") >= KEEP).alias("keep"))
+        .select(
+            *names, found["expected_grade"].alias(f"{prefix}expected_grade"), found["tail"].alias(f"{prefix}tail"),
+            (found["tail"] >= KEEP).alias(f"{prefix}keep"),
+        )
     )

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiweave.llm import fingerprint, langid, mixing, neardup, packing, quality, toxicity, urlfilter
+from kpiweave.llm import fingerprint, hamming, langid, mixing, neardup, packing, quality, substrings, toxicity, urlfilter
 
 RULES = (
     ("block", "net", "/"),
@@ -40,6 +40,11 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).withColumnRenamed("id", "doc_id")
 
 
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return hamming.search(vectors, vectors.where("vec_id % 50 = 0"), k=10).withColumnsRenamed({"id": "vec_id"})
+
+
 def op7_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = neardup.near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80)
     return found.select(
@@ -64,6 +69,10 @@ def op5_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict")
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digests(table(spark, sf_dir, "documents"), window=35).withColumnRenamed("id", "doc_id")
+
+
 def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     compared = fingerprint.compare_with_next(table(spark, sf_dir, "documents"))
     return compared.select(
@@ -74,7 +83,7 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
-        op1_mix_sources, op2_pack_sequences, op3_language_id, op4_toxicity, op5_url_filter, op7_near_duplicates, op8_quality,
-        op10_merkle_fingerprints,
+        op1_mix_sources, op2_pack_sequences, op3_language_id, op4_toxicity, op5_url_filter, op6_exact_top_k, op7_near_duplicates,
+        op8_quality, op9_substring_dedup, op10_merkle_fingerprints,
     ]
     return {f.__name__: f for f in listed}
