@@ -24,8 +24,12 @@ MESSAGE = "part int, chunk long, keys binary, places binary, marks binary, sets
 @F.pandas_udf(StructType().add("key", StringType()).add("n_words", LongType()))
 def word_key(texts: pd.Series) -> pd.DataFrame:
     """SHA-256 of the words of a text joined by single spaces, and their number."""
-    words = [t.split() for t in encode(texts)]
-    return pd.DataFrame({"key": [hashlib.sha256(b" ".join(w)).hexdigest() for w in words], "n_words": [len(w) for w in words]})
+    return pd.DataFrame([_named(t) for t in encode(texts)], columns=["key", "n_words"])
+
+
+def _named(text: bytes) -> tuple[str, int]:
+    words = text.split()
+    return hashlib.sha256(b" ".join(words)).hexdigest(), len(words)
 
 
 def _packed(numbers: np.ndarray) -> bytes:
@@ -55,40 +59,33 @@ def _inside(spans: bytes) -> np.ndarray:
     return np.concatenate([np.arange(a, b) for a, b in rows]) if len(rows) else np.zeros(0, np.int64)
 
 
-def _send(keys: np.ndarray, parts: np.ndarray, places: np.ndarray, marks: np.ndarray, count: int, chunk: int) -> Iterator[tuple]:
-    """One message to each part: its keys, where in the chunk they are, and a mark for each. A key that a chunk has more
-    than once is sent once, at its first place, with the mark of any."""
-    order = np.lexsort((places, keys, parts))
-    keys, parts, places, marks = keys[order], parts[order], places[order], marks[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = (keys[1:] != keys[:-1]) | (parts[1:] != parts[:-1])
-    if len(keys):
-        marks = np.maximum.reduceat(marks, np.flatnonzero(new))
-    order = np.lexsort((places[new], parts[new]))
-    keys, parts, places, marks = keys[new][order], parts[new][order], places[new][order], marks[order]
-    edges = np.searchsorted(parts, np.arange(count + 1))
-    for part, (i, j) in enumerate(zip(edges.tolist(), edges[1:].tolist())):
-        if j > i:
-            yield part, chunk, keys[i:j].tobytes(), _packed(places[i:j]), np.packbits(marks[i:j]).tobytes(), None, None
-
-
-def _repeated(keys: np.ndarray, parts: np.ndarray) -> np.ndarray:
-    """Which keys a chunk has more than once."""
-    order = np.lexsort((keys, parts))
-    same = (keys[order][1:] == keys[order][:-1]) & (parts[order][1:] == parts[order][:-1])
-    found = np.zeros(len(keys), bool)
-    found[order[1:][same]] = True
-    found[order[:-1][same]] = True
-    return found
+def _send(h: np.ndarray, keys: np.ndarray, parts: np.ndarray, places: np.ndarray, marks: np.ndarray, count: int, chunk: int) -> tuple[list[tuple], np.ndarray]:
+    """Messages to the parts, each with its keys, where in the chunk they are, and a mark for each; and the places of what
+    the chunk has more than once. Such a key is sent once, at its first place, with the mark of any."""
+    order = np.argsort(h, kind="stable")
+    new = np.ones(len(h), bool)
+    new[1:] = h[order][1:] != h[order][:-1]
+    runs = np.flatnonzero(new)
+    alone = np.diff(runs, append=len(h)) == 1
+    again = np.sort(places[order[np.repeat(~alone, np.diff(runs, append=len(h)))]]) if len(h) else places
+    first = order[runs]
+    marked = np.maximum.reduceat(marks[order], runs) if len(h) else marks
+    dealt = np.argsort((parts[first] << 32) | places[first])
+    keys, parts, places, marks = keys[first][dealt], parts[first][dealt], places[first][dealt], marked[dealt]
+    edges = np.searchsorted(parts, np.arange(count + 1)).tolist()
+    return [
+        (part, chunk, keys[i:j].tobytes(), _packed(places[i:j]), np.packbits(marks[i:j]).tobytes(), None, None)
+        for part, (i, j) in enumerate(zip(edges, edges[1:])) if j > i
+    ], again
 
 
 def _exchange(
     texts: DataFrame, parts: int, describe: Callable, decide: Callable, dtype: str, reach: Callable[[np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
 ) -> DataFrame:
-    """(key, spans) of the texts (key, text, ...) that have hits.
+    """(key, spans) of the texts (text, and key if there is one) that have hits.
 
-    ``describe`` gives for a chunk of texts: offsets, and the place, hash, part and mark of each of its windows. Each
-    window's hash goes to the part that it names; there ``decide`` says which are hits. What a chunk can see to be
+    ``describe`` gives for a chunk of texts: offsets, and the place, hash, key, part and mark of each of its windows. Each
+    window's key goes to the part that it names; there ``decide`` says which are hits. What a chunk can see to be
     repeated by itself is a hit at once, and the key is sent only once, so a very frequent passage costs each part one
     key a chunk and not one a document. Hits come back to the chunk, and ``reach`` turns them into spans of the text."""
 
@@ -100,12 +97,12 @@ def _exchange(
             raw = encode(frame["text"])
             for i, j in batches(raw, CHUNK_BYTES):
                 some = frame.iloc[i:j]
+                some = some if "key" in some else some.assign(key=[_named(t)[0] for t in raw[i:j]])
                 first = ~some["key"].duplicated().to_numpy()
                 some, own = some[first], [t for t, ok in zip(raw[i:j], first) if ok]
                 chunk += 1
-                offsets, places, hashes, part, marks = describe(some, own)
-                hits = places[_repeated(hashes, part)]
-                rows = list(_send(hashes, part, places, marks, parts, chunk))
+                offsets, places, *sent = describe(some, own)
+                rows, hits = _send(sent[0], sent[1], sent[2], places, sent[3], parts, chunk)
                 sets = "\n".join(f"{k} {o}" for k, o in zip(some["key"], offsets.tolist())) + f"\n. {int(offsets[-1])}"
                 rows.append((parts + chunk % parts, chunk, None, None, None, sets.encode(), _packed(hits)))
                 yield pd.DataFrame(rows, columns=[c.split()[0] for c in MESSAGE.split(", ")])
@@ -175,18 +172,21 @@ def repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", te
         words, offsets = words_of(raw)
         places = windows_inside(offsets, block)
         h = window_hashes(words, block)[places] if len(places) else np.zeros(0, np.uint64)
-        start = offsets[np.searchsorted(offsets, places, "right") - 1]
-        return offsets, places, h.astype(np.uint32), _parts(h, parts), (places - start) % block == 0
+        start = np.repeat(offsets[:-1], np.maximum(np.diff(offsets) - block + 1, 0))
+        return offsets, places, h, h.astype(np.uint32), _parts(h, parts), (places - start) % block == 0
 
     def met(keys: np.ndarray, anchor: np.ndarray) -> np.ndarray:
-        blocks = np.sort(keys[anchor])
-        return np.searchsorted(blocks, keys, "right") - np.searchsorted(blocks, keys, "left") > anchor
+        blocks, n = np.unique(keys[anchor], return_counts=True)
+        if not len(blocks):
+            return anchor
+        at = np.minimum(np.searchsorted(blocks, keys), len(blocks) - 1)
+        return (blocks[at] == keys) & (n[at] > anchor)
 
     def around(places: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
         starts, ends = np.maximum(places - (window - block), 0), np.minimum(places + 1, n - window + 1)
         return starts[ends > starts], ends[ends > starts]
 
-    candidates = _exchange(texts.select("text", _key(F.col("text")).alias("key")), parts, anchors, met, "<u4", around)
+    candidates = _exchange(texts.select("text"), parts, anchors, met, "<u4", around)
     best = candidates.groupBy("key").agg(F.max_by("spans", "n_spans").alias("spans"))
     wanted = classes.join(best, "key")
     some = texts.join(wanted, texts["id"].eqNullSafe(wanted["least_id"])).select("key", "n_words", "copies", "spans", "text")
@@ -199,7 +199,7 @@ def repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc_id", te
         copied = np.repeat(frame["copies"].to_numpy() > 1, [len(w) for w in within])
         h = window_hashes(words, window)[places] if len(places) else np.zeros(0, np.uint64)
         second = window_hashes(words, window, BASES[1])[places] if len(places) else h
-        return offsets, places, h, _parts(second, parts), copied
+        return offsets, places, h, h, _parts(second, parts), copied
 
     def several(keys: np.ndarray, copied: np.ndarray) -> np.ndarray:
         _, place, n = np.unique(keys, return_inverse=True, return_counts=True)
