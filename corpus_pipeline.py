@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 
 from kpiweave.llm import mixing, neardup, packing, quality, substrings
 from kpiweave.llm.queries import ratings, table
-from kpiweave.llm.stage import written
+from kpiweave.llm.stage import own_columns, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of a good grade is at least one half, after the ratings in ``labels``. Null and empty
     texts are judged by the model's cuts alone, that is by how common good grades are."""
     model = quality.learn(docs.select(F.col("doc_id").alias("id"), "text"), ratings(spark, sf_dir))
-    return quality.scored(docs, model, prefix="__").where("__keep").select(*[f"`{c}`" for c in docs.columns])
+    return quality.scored(docs, model, prefix="__").where("__keep").select(*own_columns(docs))
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,11 +27,11 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     kept = written(found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").agg(F.count("*").alias("n")), "pipeline-kept")
     ids = kept.select(F.col("id").alias("__id"), (F.col("n") > 1).alias("__repeated"))
     rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]))
-    once = rows.where("NOT __repeated").select(*[docs[c] for c in docs.columns])
+    once = rows.where("NOT __repeated").select(*own_columns(docs))
     if kept.where("n > 1").isEmpty():
         return once
     again = rows.where("__repeated").withColumn("__text", F.lower(F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]+", " ")))
-    again = again.dropDuplicates(["__id", "__text"]).select(*[docs[c] for c in docs.columns])
+    again = again.dropDuplicates(["__id", "__text"]).select(*own_columns(docs))
     return once.unionByName(again)
 
 

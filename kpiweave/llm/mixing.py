@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kpiweave.llm.stage import written
+from kpiweave.llm.stage import own_columns, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 SLOTS = 256
@@ -137,7 +137,7 @@ def emit(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
         .withColumn("__mix_copies", (upto(F.col("__mix_row")) - upto(F.col("__mix_row") - 1)).cast("int"))
         .where("__mix_copies > 0")
         .withColumn("__mix_copy", F.explode(F.sequence(F.lit(1), F.col("__mix_copies"))))
-        .select(*[docs[c] for c in docs.columns])
+        .select(*own_columns(docs))
     )
 
 

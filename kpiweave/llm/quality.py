@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
 from kpiweave.llm import ngrams
-from kpiweave.llm.stage import on_workers
+from kpiweave.llm.stage import on_workers, own_columns
 from kpiweave.llm.training import features, learnable, sample_ids
 
 SIZES = (1, 2, 3)
@@ -134,7 +134,7 @@ def scored(docs: DataFrame, model: Model | None, text_column: str = "text", good
         return model.predict(texts.tolist(), good)
 
     added = {f"{prefix}{c}" for c in ("expected_grade", "tail", "keep")}
-    names = [f"`{c}`" for c in docs.columns if c not in added]
+    names = [column for name, column in zip(docs.columns, own_columns(docs)) if name not in added]
     found = F.col("__quality")
     return (
         on_workers(docs).select(*names, predict(F.col(text_column)).alias("__quality"))

@@ -7,7 +7,8 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import kpiweave
 from kpiweave.session import checkpoint_root
@@ -55,3 +56,8 @@ def on_workers(df: DataFrame) -> DataFrame:
         spark.sparkContext.addPyFile(found.toString())
         _SHIPPED.add(spark.sparkContext.applicationId)
     return df
+
+
+def own_columns(df: DataFrame) -> list[Column]:
+    """All columns of ``df`` by name, whatever signs the names hold."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]

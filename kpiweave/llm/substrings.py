@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructType
 
 from kpiweave.llm.hashing import BASES, batches, encode, window_hashes, windows_inside, words_of
-from kpiweave.llm.stage import on_workers, parallelism, written
+from kpiweave.llm.stage import on_workers, own_columns, parallelism, written
 
 WINDOW = 35
 CHUNK_BYTES = 6 << 20
@@ -262,5 +262,5 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_column: str = "doc
     text = F.when(F.col("__rest").isNotNull(), F.col("__rest")).otherwise(F.col(text_column))
     return (
         docs.withColumn("__key", _key(F.col(text_column))).join(changed, "__key", "left")
-        .withColumn(text_column, text).select(*docs.columns)
+        .withColumn(text_column, text).select(*own_columns(docs))
     )
