@@ -32,9 +32,9 @@ def from_iso(iso: Column) -> Column:
 
 
 def daily_iso(value: Column, fmt: str = DAILY_FORMAT) -> Column:
-    """The date part as ``yyyy-MM-dd``; text in another format stays what it is."""
+    """The date part as ``yyyy-MM-dd``; null for text in another format."""
     if fmt == DAILY_FORMAT:
-        return F.regexp_replace(value, _DAILY_STAMP, "$1-$2-$3")
+        return F.when(F.rlike(value, F.lit(_DAILY_STAMP)), F.regexp_replace(value, _DAILY_STAMP, "$1-$2-$3"))
     return F.to_date(F.try_to_timestamp(value, F.lit(fmt))).cast("string")
 
 

@@ -26,13 +26,20 @@ def value_map(state: DataFrame, compat: bool = False) -> DataFrame:
     )
 
 
-def distinct_pairs(state: DataFrame, column: str, alias: str) -> DataFrame:
-    """Every distinct (key, attribute) pair; several per key stay several."""
-    return (
-        state.filter(F.col("Input_ID").isNotNull())
-        .select("Input_ID", F.col(column).alias(alias))
-        .distinct()
-    )
+OLD_COLUMNS = {"Input_File": "FileOld", "Remarks": "CommentRowOld"}
+
+
+def old_columns(grain: Grain, compat: bool = False) -> list[list[str]]:
+    """Attributes of an old row that go into the log: together, as they were delivered. In ``compat`` each
+    by itself, so that a key gets every combination of its files and remarks."""
+    columns = ["Input_File", "Remarks"] if grain.has_remarks else ["Input_File"]
+    return [[c] for c in columns] if compat else [columns]
+
+
+def distinct_values(state: DataFrame, columns: list[str]) -> DataFrame:
+    """Every distinct (key, attributes) tuple; several per key stay several."""
+    renamed = [F.col(c).alias(OLD_COLUMNS[c]) for c in columns]
+    return state.filter(F.col("Input_ID").isNotNull()).select("Input_ID", *renamed).distinct()
 
 
 def comment_map(log: DataFrame) -> DataFrame:
@@ -48,9 +55,8 @@ def old_values(state: DataFrame, grain: Grain, compat: bool = False) -> DataFram
     old = value_map(state, compat)
     if not compat:
         old = old.filter(F.col("KPIValueOld").isNotNull())
-    old = old.join(distinct_pairs(state, "Input_File", "FileOld"), "Input_ID", "left")
-    if grain.has_remarks:
-        old = old.join(distinct_pairs(state, "Remarks", "CommentRowOld"), "Input_ID", "left")
+    for columns in old_columns(grain, compat):
+        old = old.join(distinct_values(state, columns), "Input_ID", "left")
     return old
 
 

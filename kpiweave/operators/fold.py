@@ -69,11 +69,11 @@ def _history(steps: DataFrame, log: DataFrame, grain: Grain, compat: bool) -> Da
     return history.filter(F.col("_from_delivery"))
 
 
-def _variants(rows: DataFrame, state: DataFrame, ids: DataFrame, column: str, alias: str) -> DataFrame:
+def _variants(rows: DataFrame, state: DataFrame, ids: DataFrame, columns: list[str]) -> DataFrame:
     """Distinct attribute values per step, to be read by the step that follows."""
-    before, attribute = F.col("delivery").alias("_before_delivery"), F.col(column).alias(alias)
-    delivered = rows.select("Input_ID", before, F.lit(True).alias("_before_from_delivery"), attribute).distinct()
-    stored = _of_keys(state.select("Input_ID", attribute).distinct(), ids)
+    before, values = F.col("delivery").alias("_before_delivery"), [F.col(c).alias(corr.OLD_COLUMNS[c]) for c in columns]
+    delivered = rows.select("Input_ID", before, F.lit(True).alias("_before_from_delivery"), *values).distinct()
+    stored = _of_keys(state.select("Input_ID", *values).distinct(), ids)
     stored = stored.withColumn("_before_from_delivery", F.lit(False))
     return delivered.unionByName(stored, allowMissingColumns=True)
 
@@ -103,9 +103,9 @@ def fold(
     history = _history(_steps(rows, state, ids, grain, compat), log, grain, compat)
 
     needed = history if compat else history.filter(F.col("KPIValueOld").isNotNull())
-    old = _with_variants(needed, _variants(rows, state, ids, "Input_File", "FileOld"))
-    if grain.has_remarks:
-        old = _with_variants(old, _variants(rows, state, ids, "Remarks", "CommentRowOld"))
+    old = needed
+    for columns in corr.old_columns(grain, compat):
+        old = _with_variants(old, _variants(rows, state, ids, columns))
     carried = ["KPIValueOld", "FileOld", "CommentRowOld" if grain.has_remarks else "CommentFileOld"]
     compared = rows.join(old.select("Input_ID", "delivery", *carried), ["Input_ID", "delivery"])
     new = corr.to_log(compared.filter(corr.is_correction(grain, compat, multimarket)), grain, run_ts)

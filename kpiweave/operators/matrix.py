@@ -45,16 +45,19 @@ def grid(
 
 
 def attribute_variants(
-    rows: DataFrame, attributes: Sequence[str], wanted: DataFrame | None = None
+    rows: DataFrame, attributes: Sequence[str], wanted: DataFrame | None = None, compat: bool = False
 ) -> DataFrame:
-    """Per key every combination of the attribute values it was delivered with.
+    """Per key the attribute values it was delivered with, one row for each tuple delivered; in
+    ``compat`` every combination of them, also those that nobody delivered.
 
-    A key with one attribute tuple (the rule, as a key is delivered once) keeps its own values; only
-    keys with several take part in the chain of joins over distinct (key, attribute) pairs.
+    In ``compat`` a key with one tuple keeps its own values; only keys with several take part in the chain
+    of joins over distinct (key, attribute) pairs.
     """
     tuples = rows.select("Input_ID", *attributes).distinct()
     if wanted is not None:
         tuples = tuples.join(wanted, "Input_ID", "left_semi")
+    if not compat:
+        return tuples
     keys_ = tuples.groupBy("Input_ID").agg(
         (F.count(F.lit(1)) > 1).alias("_several"), *[F.max(a).alias(a) for a in attributes]
     )
@@ -80,7 +83,7 @@ def lookups(output: DataFrame, wanted: DataFrame, grain: Grain, compat: bool = F
     values = values.join(wanted, "Input_ID", "left_semi").withColumn(
         "IsDelivered", F.when(F.col("KPI_Value").isNull(), "0").otherwise("1")
     )
-    return values.join(attribute_variants(rows, _ATTRIBUTES[grain.name], wanted), "Input_ID")
+    return values.join(attribute_variants(rows, _ATTRIBUTES[grain.name], wanted, compat), "Input_ID")
 
 
 def matrix(
@@ -110,6 +113,7 @@ def matrix_outer(
     start: date,
     as_of: date,
     grain: Grain = WEEKLY,
+    compat: bool = False,
 ) -> DataFrame:
     """The older variant. Deliveries nobody requested stay as rows, and every distinct value of a
     key is kept in place of the largest."""
@@ -119,6 +123,6 @@ def matrix_outer(
         F.col("Value").alias("KPI_Value"),
         F.when(F.col("Value").isNull(), 0).otherwise(1).alias("IsDelivered"),
     )
-    found = attribute_variants(rows, ("KPI_Value", "IsDelivered", *_ATTRIBUTES[grain.name]))
+    found = attribute_variants(rows, ("KPI_Value", "IsDelivered", *_ATTRIBUTES[grain.name]), compat=compat)
     joined = requested.join(found.withColumnRenamed("Input_ID", "KEY1"), "KEY1", "full")
     return joined.select(*_COLUMNS[grain.name])

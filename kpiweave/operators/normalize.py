@@ -47,16 +47,19 @@ def comment_lines(raw: DataFrame) -> DataFrame:
 
 
 def file_comments(raw: DataFrame, order_by: str | Column = "row_no") -> DataFrame:
-    """The date field of the first comment line of each file; one row per file that has one."""
+    """The date field of the first comment line of each file; one row per file that has one. Files of
+    one name in several folders are told apart by ``delivery``, where the frame has it."""
     order = F.col(order_by) if isinstance(order_by, str) else order_by
-    return (
-        comment_lines(raw).groupBy("Input_File").agg(F.min_by("DatumKPI", order).alias("CommentFileNew"))
-    )
+    return comment_lines(raw).groupBy(*_file(raw)).agg(F.min_by("DatumKPI", order).alias("CommentFileNew"))
+
+
+def _file(rows: DataFrame) -> list[str]:
+    return [c for c in ("Input_File", "delivery") if c in rows.columns]
 
 
 def with_file_comment(rows: DataFrame, comments: DataFrame) -> DataFrame:
     """Attach the file comment; the text ``null`` where a file has no comment line."""
-    return rows.join(comments, "Input_File", "left").withColumn(
+    return rows.join(comments, _file(comments), "left").withColumn(
         "CommentFileNew", or_text(F.col("CommentFileNew"), "null")
     )
 
@@ -149,11 +152,18 @@ def unknown_markets(rows: DataFrame, market_map: DataFrame, code: str = "Region"
     return rows.join(known, code, "left_anti").withColumn("reason", F.lit("unknown country"))
 
 
+def _dated_ims(raw: DataFrame) -> DataFrame:
+    return raw.filter(F.col("Date").isNotNull() & (F.col("Date") != ""))
+
+
+def quarantine_ims(raw: DataFrame) -> DataFrame:
+    return _unreadable(_dated_ims(raw), dates.period_iso(F.col("Date")))
+
+
 def normalize_ims(raw: DataFrame) -> DataFrame:
     """The value stays as delivered."""
-    dated = raw.filter(F.col("Date").isNotNull() & (F.col("Date") != ""))
     day, kpi = dates.business_text(F.col("_day")), F.upper(or_text(F.col("KPI name"), "nan"))
-    return _readable(dated, dates.period_iso(F.col("Date"))).select(
+    return _readable(_dated_ims(raw), dates.period_iso(F.col("Date"))).select(
         day.alias("Date"),
         kpi.alias("KPI name"),
         "Value",

@@ -276,12 +276,17 @@ def _report_unrequested(f: Feeds) -> DataFrame:
     )
 
 
-def _matrix_outer(f: Feeds) -> DataFrame:
+def _matrix_outer(f: Feeds, compat: bool = False) -> DataFrame:
     flags = registry.request_flags(f.registry, views.GRID)
-    joined = matrix.matrix_outer(flags, f.market_map, f.weekly_table(), DAILY_START, DAILY_AS_OF)
+    joined = matrix.matrix_outer(flags, f.market_map, f.weekly_table(), DAILY_START, DAILY_AS_OF, compat=compat)
     return joined.withColumn("KPI_Value", rounded(F.col("KPI_Value")))
 
 
+def _unknown_grid_codes(f: Feeds) -> DataFrame:
+    """The request grid against a market map that lacks one of its codes."""
+    return normalize.unknown_markets(registry.request_flags(f.registry, views.GRID), f.market_map.filter("code <> 'CX'"), "Natco")
+
+
 def _matrix_weekly(f: Feeds) -> DataFrame:
     return f.matrix(WEEKLY).withColumn("KPI_Value", rounded(F.col("KPI_Value")))
 
@@ -361,7 +366,10 @@ QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "matrix_weekly": _matrix_weekly,
     "matrix_monthly": lambda f: f.matrix(MONTHLY),
     "matrix_outer": _matrix_outer,
+    "matrix_outer_compat": lambda f: _matrix_outer(f, compat=True),
+    "unknown_grid_codes": _unknown_grid_codes,
     # publishing
+    "rejected_ims": lambda f: normalize.quarantine_ims(f.ims_raw),
     "ims_normalize": lambda f: normalize.normalize_ims(f.ims_raw),
     "facts": _facts,
     "report_thresholds": lambda f: registry.country_thresholds(f.mapping, views.COUNTRIES),

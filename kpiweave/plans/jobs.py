@@ -127,17 +127,21 @@ def run_matrices(
     markets: Sequence[str] | None = None,
 ) -> None:
     """C7 for all markets (or those given, F9), one folder per country code (K2)."""
+    flags = reg.request_flags(registry, grid)
+    unknown = normalize.unknown_markets(flags, market_map, "Natco").select("Natco", "reason").distinct()
+    unknown.write.mode("overwrite").parquet(f"{warehouse.root}/unknown_grid_codes")
     if markets is not None:
         market_map = market_map.filter(F.col("market").isin(list(markets)))
-    flags = reg.request_flags(registry, grid)
     for grain in (DAILY, WEEKLY, MONTHLY):
         built = matrix.matrix(flags, market_map, warehouse.state(grain), start, as_of, grain)
         files.write_partitioned(built, f"{warehouse.root}/matrix_{grain.name}", "Natco")
 
 
 def run_ims(warehouse: Warehouse, raw: DataFrame, only_new: bool = False) -> None:
-    """C9, appended (K5). ``only_new`` leaves out rows whose id is already there."""
+    """C9, appended (K5); rows with an unreadable date go to ``quarantine_ims``. ``only_new`` leaves out rows whose id is already there."""
     rows, path = normalize.normalize_ims(raw), f"{warehouse.root}/ims_facts"
+    rejected = normalize.quarantine_ims(raw).select("Date", "KPI name", "Value", "Region", "reason")
+    files.append(rejected, f"{warehouse.root}/quarantine_ims")
     if only_new:
         known = read_or_empty(warehouse.spark, path, schemas.IMS_FACTS_SCHEMA)
         rows = staged(rows.join(known.select("Input_ID"), "Input_ID", "left_anti"), "ims")

@@ -43,8 +43,8 @@ WHERE v IS NOT NULL AND d IS NOT NULL AND kpi_name IS NOT NULL"""
 
 
 CTES["comment"] = """
-SELECT file_name AS Input_File, arg_min(DatumKPI, row_no) AS CommentFileNew
-FROM {fx_daily_raw} WHERE Marker = 'C' GROUP BY 1"""
+SELECT file_name AS Input_File, delivery_seq AS delivery, arg_min(DatumKPI, row_no) AS CommentFileNew
+FROM {fx_daily_raw} WHERE Marker = 'C' GROUP BY 1, 2"""
 
 CTES["daily"] = f"""
 SELECT Natco || '-' || upper(trim(KPINameDaily)) || '-' || strftime(d, '%d.%m.%Y') || '-d' AS Input_ID,
@@ -54,7 +54,7 @@ SELECT Natco || '-' || upper(trim(KPINameDaily)) || '-' || strftime(d, '%d.%m.%Y
        coalesce(c.CommentFileNew, 'null') AS CommentFileNew
 FROM (SELECT r.*, {_number('r."Value"')} AS v, TRY_STRPTIME(r.DatumKPI, '%Y%m%d%H%M%S') AS d
       FROM {{fx_daily_raw}} r WHERE r.Marker = 'L') t
-LEFT JOIN {{comment}} c ON c.Input_File = t.file_name
+LEFT JOIN {{comment}} c ON c.Input_File = t.file_name AND c.delivery = t.delivery_seq
 WHERE v IS NOT NULL AND d IS NOT NULL"""
 
 CTES["weekly"] = _period_norm("fx_weekly_raw", "w")
@@ -74,7 +74,7 @@ _CHANGED = {"daily": "n.\"Value\" IS DISTINCT FROM o.old", "remark": (
 
 _LOG_COLUMNS = """n.Input_ID AS Key_Corr, n."Date" AS DatumKPI, n.{kpi} AS KPINameQVD, n.Region AS Natco,
        o.old AS KPIValueOld, n."Value" AS KPIValueNew, {comments}, n.Input_File_Time AS TimestampCorrFile,
-       '{code}' AS Granularity, f.Input_File AS FileOld, n.Input_File AS FileNew,
+       '{code}' AS Granularity, r.Input_File AS FileOld, n.Input_File AS FileNew,
        CAST(0 AS DOUBLE) AS correction_timestamp"""
 
 _ROW_COMMENTS = """r.Remarks AS CommentRowOld, n.Remarks AS CommentRowNew,
@@ -94,13 +94,12 @@ for feed, code in (("daily", "D"), ("weekly", "W"), ("monthly", "M"), ("multimar
         "Input_ID, \"Date\", TimestampTo, Region, SourceSystem, KPI_ID, Denominator, Numerator, \"Value\", Input_File"
         if daily else 'Input_ID, "Date", "KPI name", Region, "Value", Remarks, Input_File'
     )
-    remarks_join = "" if daily else f"""
-LEFT JOIN (SELECT DISTINCT Input_ID, Remarks FROM {{{feed}}} WHERE delivery < 3) r ON r.Input_ID = n.Input_ID"""
+    old_tuple = "Input_File" if daily else "Input_File, Remarks"
     CTES[f"{feed}_log"] = f"""
 SELECT {_LOG_COLUMNS.format(kpi=kpi, code=code, comments=_file_comments('CAST(NULL AS VARCHAR)') if daily else _ROW_COMMENTS)}
 FROM {{{feed}}} n
 JOIN (SELECT Input_ID, max("Value") AS old FROM {{{feed}}} WHERE delivery < 3 GROUP BY 1) o ON o.Input_ID = n.Input_ID
-LEFT JOIN (SELECT DISTINCT Input_ID, Input_File FROM {{{feed}}} WHERE delivery < 3) f ON f.Input_ID = n.Input_ID{remarks_join}
+LEFT JOIN (SELECT DISTINCT Input_ID, {old_tuple} FROM {{{feed}}} WHERE delivery < 3) r ON r.Input_ID = n.Input_ID
 WHERE n.delivery = 3 AND ({changed})"""
     CTES[f"{feed}_out"] = f"""
 SELECT {output}, CASE WHEN Input_ID IN (SELECT Key_Corr FROM {{{feed}_log}}) THEN 'Correction' END AS was_corrected_Flag
@@ -112,13 +111,11 @@ WHERE delivery < 3 AND Input_ID NOT IN (SELECT Input_ID FROM {{{feed}}} WHERE de
 SELECT Input_ID, delivery, lag(v) OVER w AS old, lag(delivery) OVER w AS previous
 FROM (SELECT Input_ID, delivery, max("Value") AS v FROM {{{feed}}} GROUP BY 1, 2) t
 WINDOW w AS (PARTITION BY Input_ID ORDER BY delivery)"""
-    remarks_join = "" if daily else f"""
-LEFT JOIN (SELECT DISTINCT Input_ID, delivery, Remarks FROM {{{feed}}}) r ON r.Input_ID = o.Input_ID AND r.delivery = o.previous"""
     raw_log = f"""
 SELECT {_LOG_COLUMNS.format(kpi=kpi, code=code, comments=_file_comments("'?'") if daily else _ROW_COMMENTS)}, n.delivery
 FROM {{{feed}}} n
 JOIN {{{feed}_prev}} o ON o.Input_ID = n.Input_ID AND o.delivery = n.delivery
-LEFT JOIN (SELECT DISTINCT Input_ID, delivery, Input_File FROM {{{feed}}}) f ON f.Input_ID = o.Input_ID AND f.delivery = o.previous{remarks_join}
+LEFT JOIN (SELECT DISTINCT Input_ID, delivery, {old_tuple} FROM {{{feed}}}) r ON r.Input_ID = o.Input_ID AND r.delivery = o.previous
 WHERE o.old IS NOT NULL AND ({changed})"""
     CTES[f"{feed}_fold_rows"] = raw_log
     if daily:
@@ -226,7 +223,13 @@ SELECT g.Natco, g.KPI_ID, g.KPI_Name, g.{requested}, c."Date", {extra}
 FROM {{flags}} g JOIN {{fx_market}} m ON m.code = g.Natco CROSS JOIN (SELECT * FROM {days} WHERE {where}) c"""
 
 
-def _lookups(source: str, attributes: tuple[str, ...], value: str = 'max("Value")') -> str:
+def _lookups(source: str, attributes: tuple[str, ...], value: str = 'max("Value")', product: bool = False) -> str:
+    if not product:
+        return f"""
+SELECT * FROM (WITH s AS (SELECT *, "Date" AS "Time" FROM {source})
+SELECT v.Input_ID, v.KPI_Value, CASE WHEN v.KPI_Value IS NULL THEN '0' ELSE '1' END AS IsDelivered, {", ".join(attributes)}
+FROM (SELECT Input_ID, {value} AS KPI_Value FROM s GROUP BY 1) v
+JOIN (SELECT DISTINCT Input_ID, {", ".join(attributes)} FROM s) a ON a.Input_ID = v.Input_ID) q"""
     selected = ", ".join(f"a{i}.x{i} AS {a}" for i, a in enumerate(attributes))
     joins = "\n".join(
         f"JOIN (SELECT DISTINCT Input_ID, {a} AS x{i} FROM s) a{i} ON a{i}.Input_ID = v.Input_ID"
@@ -254,7 +257,7 @@ UNION ALL SELECT {_PERIOD_COLUMNS}, CAST(NULL AS VARCHAR) FROM {{weekly}}"""
 CTES["state_w"] = "SELECT * FROM {weekly_table} WHERE Input_ID IN (SELECT KEY1 FROM {grid_w})"
 CTES["state_m"] = "SELECT *, CAST(NULL AS VARCHAR) AS was_corrected_Flag FROM {multimarket} WHERE Input_ID IN (SELECT KEY1 FROM {grid_m})"
 CTES["look_d"] = _lookups("{state_d}", _DAILY_ATTRIBUTES)
-CTES["look_d_literal"] = _lookups("{state_d}", _DAILY_ATTRIBUTES, 'arg_max("Value", CAST("Value" AS VARCHAR))')
+CTES["look_d_literal"] = _lookups("{state_d}", _DAILY_ATTRIBUTES, 'arg_max("Value", CAST("Value" AS VARCHAR))', product=True)
 CTES["look_w"] = _lookups("{state_w}", _PERIOD_ATTRIBUTES)
 CTES["look_m"] = _lookups("{state_m}", _PERIOD_ATTRIBUTES)
 
@@ -281,6 +284,10 @@ _OUTER_JOINS = "\n".join(
     for i, a in enumerate(_OUTER_ATTRIBUTES)
 )
 CTES["look_outer"] = f"""
+SELECT DISTINCT Input_ID, {", ".join(_OUTER_ATTRIBUTES)}
+FROM (SELECT *, "Date" AS "Time", "Value" AS KPI_Value, CASE WHEN "Value" IS NULL THEN 0 ELSE 1 END AS IsDelivered
+      FROM {{weekly_table}}) s"""
+CTES["look_outer_literal"] = f"""
 SELECT * FROM (WITH s AS (SELECT *, "Date" AS "Time", "Value" AS KPI_Value, CASE WHEN "Value" IS NULL THEN 0 ELSE 1 END AS IsDelivered
                           FROM {{weekly_table}})
 SELECT v.Input_ID, {", ".join(f"a{i}.x{i} AS {a}" for i, a in enumerate(_OUTER_ATTRIBUTES))}
@@ -386,8 +393,8 @@ SELECT {_LOG_COLUMNS.format(kpi='"KPI name"', code="M", comments=_ROW_COMMENTS)}
 FROM {{multimarket}} n
 LEFT JOIN (SELECT Input_ID, arg_max("Value", CAST("Value" AS VARCHAR)) AS old FROM {{multimarket}} WHERE delivery < 3 GROUP BY 1) o
   ON o.Input_ID = n.Input_ID
-LEFT JOIN (SELECT DISTINCT Input_ID, Input_File FROM {{multimarket}} WHERE delivery < 3) f ON f.Input_ID = n.Input_ID
-LEFT JOIN (SELECT DISTINCT Input_ID, Remarks FROM {{multimarket}} WHERE delivery < 3) r ON r.Input_ID = n.Input_ID
+LEFT JOIN (SELECT f.Input_ID, f.Input_File, m.Remarks FROM (SELECT DISTINCT Input_ID, Input_File FROM {{multimarket}} WHERE delivery < 3) f
+  JOIN (SELECT DISTINCT Input_ID, Remarks FROM {{multimarket}} WHERE delivery < 3) m ON m.Input_ID = f.Input_ID) r ON r.Input_ID = n.Input_ID
 WHERE n.delivery = 3
   AND (o.old IS NOT NULL OR NOT contains(coalesce(r.Remarks, 'nan'), coalesce(n.Remarks, 'nan')))""",
     "correction_flag": """
@@ -410,7 +417,7 @@ FROM (SELECT {_LOG_COLUMNS.format(kpi="KPI_ID", code="D", comments=_file_comment
       JOIN (SELECT Input_ID, delivery, lag(v) OVER w AS old, lag(delivery) OVER w AS previous
             FROM (SELECT Input_ID, delivery, arg_max("Value", CAST("Value" AS VARCHAR)) AS v FROM {{daily}} GROUP BY 1, 2) t
             WINDOW w AS (PARTITION BY Input_ID ORDER BY delivery)) o ON o.Input_ID = n.Input_ID AND o.delivery = n.delivery
-      JOIN (SELECT DISTINCT Input_ID, delivery, Input_File FROM {{daily}}) f ON f.Input_ID = o.Input_ID AND f.delivery = o.previous
+      JOIN (SELECT DISTINCT Input_ID, delivery, Input_File FROM {{daily}}) r ON r.Input_ID = o.Input_ID AND r.delivery = o.previous
       WHERE o.old IS NOT NULL) l""",
     "fold_deliveries_weekly": "SELECT * FROM {weekly_fold_out}",
     "fold_corrections_weekly": "SELECT * FROM {weekly_fold_log}",
@@ -435,6 +442,15 @@ SELECT DISTINCT upper(trim(KPI_ID)) AS KPI_ID, upper(trim(KPI_Name)) AS KPI_Name
 SELECT g.Natco, g.KPI_ID, g.KPI_Name, g.requested_Weekly, g."Date", coalesce(g.KEY1, l.Input_ID) AS KEY1,
        round(l.KPI_Value + 0.0000001, 4) AS KPI_Value, l.IsDelivered, l."Time", l.Input_File, l.Remarks, l.was_corrected_Flag
 FROM {grid_w} g FULL JOIN {look_outer} l ON l.Input_ID = g.KEY1""",
+    "matrix_outer_compat": """
+SELECT g.Natco, g.KPI_ID, g.KPI_Name, g.requested_Weekly, g."Date", coalesce(g.KEY1, l.Input_ID) AS KEY1,
+       round(l.KPI_Value + 0.0000001, 4) AS KPI_Value, l.IsDelivered, l."Time", l.Input_File, l.Remarks, l.was_corrected_Flag
+FROM {grid_w} g FULL JOIN {look_outer_literal} l ON l.Input_ID = g.KEY1""",
+    "unknown_grid_codes": """
+SELECT *, 'unknown country' AS reason FROM {flags} WHERE Natco NOT IN (SELECT code FROM {fx_market} WHERE code <> 'CX')""",
+    "rejected_ims": f"""
+SELECT "Date", kpi_name AS "KPI name", "Value", Region, 'unreadable date' AS reason
+FROM {{fx_ims_raw}} WHERE "Date" <> '' AND {_period_date('"Date"')} IS NULL""",
     "ims_normalize": "SELECT * FROM {ims}",
     "facts": f"""
 SELECT a."Date", a."KPI name" AS "Kpi name", a."Value", a.Region, a.Input_ID, k.Vendor, k.Service, k.Unit AS Units,

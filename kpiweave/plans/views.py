@@ -75,14 +75,14 @@ SELECT KPI_ID, CASE WHEN KPI_ID = 'P1' THEN NULL ELSE '250000' END AS Threshold,
 FROM {fx_registry}""",
     "fx_ims_raw": """
 SELECT CASE WHEN l_orderkey % 2 = 0 THEN substr(d, 9, 2) || '.' || substr(d, 6, 2) || '.' || substr(d, 1, 4)
-            WHEN l_orderkey % 41 = 0 THEN NULL ELSE d || ' 00:00:00' END AS Date,
+            WHEN l_orderkey % 41 = 0 THEN NULL WHEN l_orderkey % 43 = 0 THEN replace(d, '-', '/') ELSE d || ' 00:00:00' END AS Date,
        '1-urgent' AS kpi_name, CAST(l_extendedprice AS STRING) AS Value,
        'NATION_' || CAST(l_suppkey % 25 AS STRING) AS Region
-FROM (SELECT l.*, substr(CAST(l_shipdate AS STRING), 1, 10) AS d FROM {lineitem} l WHERE l_linenumber = 1) t""",
+FROM (SELECT l.*, substr(CAST(l_shipdate AS STRING), 1, 10) AS d FROM {lineitem} l) t""",
     "fx_manifest": """
 SELECT DISTINCT e.event_type || '_' || substr(CAST(ts AS STRING), 1, 10) || '.csv_' || lower(m.code) || '.csv' AS name
 FROM {events} e JOIN {fx_market} m ON m.market = 'NATION_' || CAST(e.user_id % 25 AS STRING)
-WHERE e.event_id % 5 <> 0""",
+WHERE (CAST(substr(CAST(ts AS STRING), 9, 2) AS INT) + ascii(m.code) + length(e.event_type)) % 7 <> 0""",
 }
 
 GRID = ("AX", "AX_1", "AX_2", "BX", "BX_1", "BX_2", "CX", "CX_1", "CX_2")

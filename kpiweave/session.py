@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Small dimensions are never hinted: Spark broadcasts a side only when its measured size is under
@@ -41,10 +39,6 @@ def build_session(app_name: str = "kpiweave", master: str | None = None, **conf:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder the cluster names; a temporary one only where none is named (tests)."""
+    """The shared folder the cluster names, or one in the session's warehouse, which is shared as well."""
     configured = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if configured:
-        return configured
-    fallback = tempfile.mkdtemp(prefix="kpiweave-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_kpiweave"

@@ -22,7 +22,8 @@ _SHORT_ROW = "_short_row"
 
 def _market_from_path() -> Column:
     """Folders are laid out as base/market/period/file."""
-    return F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+/[^/]+$", 1)
+    folder = F.regexp_extract("_metadata.file_path", r"/([^/]+)/[^/]+/[^/]+$", 1)
+    return F.url_decode(F.replace(folder, F.lit("+"), F.lit("%2B")))  # paths come percent-encoded, "+" as itself
 
 
 def provenance() -> list[Column]:

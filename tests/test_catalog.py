@@ -6,13 +6,14 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import connect, difference
+from kpiweave.plans import catalog, oracle
 
 SF_DIR = os.environ.get("KPIWEAVE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = contract.queries(), contract.oracle_sql()
+QUERIES, SQL = catalog.queries(), oracle.oracle_sql()
 CROSS_SECTION = [
     "normalize_values", "normalize_dates", "text_helpers", "build_keys", "corrections_weekly", "upsert_daily",
-    "multimarket_split", "fold_corrections", "fold_deliveries_weekly", "weekly_averages", "calendar_day", "matrix_daily",
-    "facts", "report_status", "run_verdict", "report_recipients",
+    "multimarket_split", "fold_corrections", "fold_corrections_weekly", "fold_deliveries_weekly", "weekly_averages", "calendar_day", "matrix_daily",
+    "matrix_outer_compat", "unknown_grid_codes", "rejected_ims", "facts", "report_status", "run_verdict", "report_recipients",
 ]
 NAMES = sorted(QUERIES) if os.environ.get("KPIWEAVE_COMPARE") == "all" else CROSS_SECTION
 
@@ -26,6 +27,7 @@ def duck():
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert QUERIES.keys() <= contract.queries().keys() and SQL.keys() <= contract.oracle_sql().keys()
 
 
 def test_entry(spark):

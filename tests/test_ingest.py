@@ -73,12 +73,14 @@ def test_multimarket_literal_remark_rule(spark):
     assert pairs(run(True), "Key_Corr") == [("b",)]
 
 
-def test_old_attributes_fan_out(spark):
+@pytest.mark.parametrize("compat,combinations", [(False, ["f0 x", "f00 y"]), (True, ["f0 x", "f0 y", "f00 x", "f00 y"])])
+def test_old_attributes_fan_out(spark, compat, combinations):
     state = period_state(spark, [("a", 1.0, "x", "f0", None), ("a", 2.0, "y", "f00", None)])
-    log = upsert.ingest(period_rows(spark, [("a", 3.0, "z")]), state, empty_log(spark), WEEKLY, 1.0).new_corrections
-    assert pairs(log, "KPIValueOld", "FileOld", "CommentRowOld") == [
-        (2.0, "f0", "x"), (2.0, "f0", "y"), (2.0, "f00", "x"), (2.0, "f00", "y"),
-    ]
+    expected = [(2.0, *c.split()) for c in combinations]
+    rows = period_rows(spark, [("a", 3.0, "z")])
+    for ingest in (upsert.ingest, fold):
+        log = ingest(rows, state, empty_log(spark), WEEKLY, 1.0, compat).new_corrections
+        assert pairs(log, "KPIValueOld", "FileOld", "CommentRowOld") == expected
 
 
 @pytest.mark.parametrize("compat,flag", [(False, "Correction"), (True, None)])

@@ -61,11 +61,47 @@ def test_first_comment_of_a_file_in_several_splits(spark, tmp_path):
     try:
         raw = feeds.read_daily(spark, str(tmp_path))
         assert raw.rdd.getNumPartitions() > 3
-        assert normalize.file_comments(raw).collect() == [("a.csv", "20240202000000")]
+        comments = normalize.file_comments(raw).select("Input_File", "CommentFileNew").collect()
+        assert comments == [("a.csv", "20240202000000")]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_files_of_one_name_and_folders_with_blanks(spark, tmp_path, rows):
+    from kpiweave.operators import normalize
+
+    put(tmp_path / "M A+1" / "daily", "day.csv", [daily_line("20240203", "k1", "", "C"), daily_line("20240101", "k1", 1)], 100)
+    put(tmp_path / "MB" / "daily", "day.csv", [daily_line("20240101", "k1", 2)], 101)
+    raw = feeds.read_daily(spark, str(tmp_path))
+    done = normalize.with_file_comment(normalize.normalize_daily(raw), normalize.file_comments(raw))
+    assert rows(done, "Region", "Value", "CommentFileNew") == [("M A+1", 1.0, "20240203000000"), ("MB", 2.0, "null")]
+
+
+def test_stamps_of_another_format_are_quarantined(spark):
+    from kpiweave.operators import normalize
+
+    raw = spark.createDataFrame(
+        [("L", d, "t", "MA", "S", "k", "1", "1", "5", "f") for d in ("20240131000000", "2024-01-31", "20240131")],
+        "Marker string, DatumKPI string, TimestampTo string, Natco string, SourceSystem string, KPINameDaily string, "
+        "Denominator string, Numerator string, Value string, Input_File string",
+    )
+    assert [r["Date"] for r in normalize.normalize_daily(raw).collect()] == ["31.01.2024"]
+    assert sorted(r["DatumKPI"] for r in normalize.quarantine_daily(raw).collect()) == ["2024-01-31", "20240131"]
+
+
+def test_unreadable_ims_dates_and_unknown_codes_are_kept_apart(spark):
+    from kpiweave.operators import normalize
+
+    raw = spark.createDataFrame(
+        [(d, "k", "1", "MA") for d in ("1/2/2024", "02.01.2024", None, "")], "Date string, `KPI name` string, Value string, Region string"
+    )
+    assert [r["Date"] for r in normalize.normalize_ims(raw).collect()] == ["02.01.2024"]
+    assert [(r["Date"], r["reason"]) for r in normalize.quarantine_ims(raw).collect()] == [("1/2/2024", "unreadable date")]
+    known = spark.createDataFrame([("AX", "MA")], "code string, market string")
+    flags = spark.createDataFrame([("AX",), ("QX",)], "Natco string")
+    assert [tuple(r) for r in normalize.unknown_markets(flags, known, "Natco").collect()] == [("QX", "unknown country")]
+
+
 def test_read_period_without_remarks_column(spark, tmp_path, rows):
     put(tmp_path / "MA" / "monthly", "a.csv", ["Date|KPI name|Value|Remarks", "01.01.2024|k1|1|", "01.01.2024|k2|2|late"], 1)
     put(tmp_path / "MB" / "monthly", "b.csv", ["Date|KPI name|Value", "01.01.2024|k1|NaN"], 1)
