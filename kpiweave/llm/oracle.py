@@ -51,8 +51,8 @@ def url_filter() -> str:
         for i in range(1, urlfilter.ROUNDS + 1):
             rounds.append(
                 f"{kind}{i} AS MATERIALIZED (SELECT node, sum(mass) AS mass FROM ("
-                f"SELECT coalesce(dst, node) AS node, coalesce(part, 1.0) * mass * {urlfilter.DAMPING} AS mass FROM {kind}{i - 1} LEFT JOIN {kind}_edge ON node = src "
-                f"UNION ALL SELECT node, mass * (1 - {urlfilter.DAMPING}) FROM {kind}0) GROUP BY node)"
+                f"SELECT dst AS node, part * mass * {urlfilter.DAMPING} AS mass FROM {kind}{i - 1} JOIN {kind}_edge ON node = src "
+                f"UNION ALL SELECT node, mass FROM {kind}0) GROUP BY node)"
             )
     last = urlfilter.ROUNDS
     host = rf"translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), '{upper}', '{lower}')"

@@ -39,19 +39,18 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
 
 
 def propagate(edges: DataFrame, seeds: DataFrame) -> DataFrame:
-    """Personalised PageRank (node, mass): mass starts from and returns to ``seeds`` (node, share), and passes along
-    ``edges`` (src, dst, part), where the parts of a node sum to one. A node without edges keeps its mass.
+    """Personalised PageRank (node, mass) in the units of ``seeds`` (node, share): a seed has its share, and ``edges`` (src,
+    dst, part), where the parts of a node sum to one, pass on what a node has, damped by each step.
 
     Every round is one join on src and one sum by dst, combined before its shuffle; a hub's edges are one row per
     neighbour, and a join split by AQE spreads them. The state is written every few rounds to keep the plan short."""
     mass = seeds.select("node", F.col("share").alias("mass"))
     for i in range(1, ROUNDS + 1):
         spread = (
-            mass.join(edges, mass["node"] == edges["src"], "left")
-            .select(F.coalesce("dst", "node").alias("node"), (F.coalesce("part", F.lit(1.0)) * F.col("mass") * DAMPING).alias("mass"))
+            mass.join(edges, mass["node"] == edges["src"])
+            .select(F.col("dst").alias("node"), (F.col("part") * F.col("mass") * DAMPING).alias("mass"))
         )
-        home = seeds.select("node", (F.col("share") * (1 - DAMPING)).alias("mass"))
-        mass = spread.unionByName(home).groupBy("node").agg(F.sum("mass").alias("mass"))
+        mass = spread.unionByName(seeds.select("node", F.col("share").alias("mass"))).groupBy("node").agg(F.sum("mass").alias("mass"))
         if i % ROUNDS_PER_STAGE == 0:
             mass = written(mass, "url-mass")
     return mass

@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from compare import connect, difference
-from kpiweave.llm import components, hamming, hashing, mixing, neardup, ngrams, oracle, packing, queries, substrings, toxicity
+from kpiweave.llm import components, hamming, hashing, mixing, neardup, ngrams, oracle, packing, queries, substrings, toxicity, urlfilter
 
 SF_DIR = os.environ.get("KPIWEAVE_SF_DIR", "/root/testdata/sf0.001")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -262,3 +262,22 @@ def test_top_k_equals_brute_force(spark):
         near = sorted((bin((c ^ d) & (2**64 - 1)).count("1"), j) for j, d in rows if j != i)[:4]
         expected |= {(i, n, j, d) for n, (d, j) in enumerate(near, 1)}
     assert {tuple(r) for r in found} == expected
+
+
+def test_trust_follows_links_and_distrust_goes_back(spark):
+    page = lambda i, host, *to: (i, f"http://{host}/p{i}", "".join(f'<a href="http://{t}/x">' for t in to))
+    pages = spark.createDataFrame(
+        [page(1, "good.org", "liked.com"), page(2, "bad.net"), page(3, "farm.com", "bad.net"), page(4, "farm.com", "bad.net", "farm.com"),
+         page(5, "liked.com"), page(6, "far.com", "farm.com"), page(7, "alone.com")],
+        "page_id long, url string, html string",
+    )
+    rules = [("block", "net", "/"), ("allow", "good.org", "/")]
+    found = {r["host"]: r for r in urlfilter.judge(pages, rules, threshold=0.3).collect()}
+    assert {h for h, r in found.items() if r["verdict"] == "block"} == {"bad.net", "farm.com", "far.com"}
+    assert found["liked.com"]["host_score"] < 0 < found["farm.com"]["host_score"] and found["alone.com"]["host_score"] == 0
+    edges = spark.createDataFrame([("a", "b", 0.5), ("a", "c", 0.5), ("b", "a", 1.0)], "src string, dst string, part double")
+    mass = {r["node"]: r["mass"] for r in urlfilter.propagate(edges, spark.createDataFrame([("a", 2.0)], "node string, share double")).collect()}
+    d, a = urlfilter.DAMPING, 2.0
+    for _ in range(urlfilter.ROUNDS // 2):  # a cycle of two steps through b
+        b, a = a * d / 2, 2.0 + a * d * d / 2
+    assert mass["a"] == pytest.approx(a) and mass["b"] == mass["c"]
