@@ -83,23 +83,31 @@ class Feeds:
     def manifest(self) -> DataFrame:
         return self.view("fx_manifest")
 
+    def normalized(self, name: str) -> DataFrame:
+        """The plan of a normalised feed, for a query that reads it once."""
+        if name == "daily":
+            rows = normalize.normalize_daily(self.daily_raw)
+            return normalize.with_file_comment(rows, normalize.file_comments(self.daily_raw))
+        if name == "weekly":
+            return normalize.normalize_period(self.weekly_raw, WEEKLY)
+        raw = self.monthly_raw
+        return normalize.normalize_period(raw if name == "monthly" else normalize.resolve_market(raw, self.market_map), MONTHLY)
+
     @cached_property
     def daily(self) -> DataFrame:
-        rows = normalize.normalize_daily(self.daily_raw)
-        return staged(normalize.with_file_comment(rows, normalize.file_comments(self.daily_raw)), "daily")
+        return staged(self.normalized("daily"), "daily")
 
     @cached_property
     def weekly(self) -> DataFrame:
-        return staged(normalize.normalize_period(self.weekly_raw, WEEKLY), "weekly")
+        return staged(self.normalized("weekly"), "weekly")
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return staged(normalize.normalize_period(self.monthly_raw, MONTHLY), "monthly")
+        return staged(self.normalized("monthly"), "monthly")
 
     @cached_property
     def multimarket(self) -> DataFrame:
-        resolved = normalize.resolve_market(self.monthly_raw, self.market_map)
-        return staged(normalize.normalize_period(resolved, MONTHLY), "multimarket")
+        return staged(self.normalized("multimarket"), "multimarket")
 
     def rows(self, name: str) -> tuple[DataFrame, Grain]:
         return getattr(self, name), {"daily": DAILY, "weekly": WEEKLY}.get(name, MONTHLY)
@@ -227,7 +235,7 @@ def _build_keys(f: Feeds) -> DataFrame:
         F.lit("registry").alias("feed"),
         keys.service_key(F.col("Service"), F.col("Vendor"), F.col("KPI_Name")).alias("Input_ID"),
     )
-    parts = [keyed(f.daily, "daily"), keyed(f.weekly, "weekly"), keyed(f.monthly, "monthly")]
+    parts = [keyed(f.normalized(name), name) for name in ("daily", "weekly", "monthly")]
     parts += [keyed(normalize.normalize_ims(f.ims_raw), "ims"), service]
     every = parts[0]
     for part in parts[1:]:
@@ -263,7 +271,7 @@ def _mean_columns(df: DataFrame) -> DataFrame:
 
 
 def _facts(f: Feeds) -> DataFrame:
-    return facts.facts(as_state(f.weekly, WEEKLY), normalize.normalize_ims(f.ims_raw), f.registry)
+    return facts.facts(as_state(f.normalized("weekly"), WEEKLY), normalize.normalize_ims(f.ims_raw), f.registry)
 
 
 def _report(f: Feeds) -> DataFrame:
@@ -325,11 +333,11 @@ QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "text_helpers": _text_helpers,
     "build_keys": _build_keys,
     "file_comment": lambda f: normalize.file_comments(f.daily_raw),
-    "normalize_daily": lambda f: f.daily,
-    "normalize_weekly": lambda f: f.weekly,
-    "normalize_monthly": lambda f: f.monthly,
+    "normalize_daily": lambda f: f.normalized("daily"),
+    "normalize_weekly": lambda f: f.normalized("weekly"),
+    "normalize_monthly": lambda f: f.normalized("monthly"),
     # one delivery against the state
-    "old_value_map": lambda f: corrections.value_map(as_state(f.daily, DAILY)),
+    "old_value_map": lambda f: corrections.value_map(as_state(f.normalized("daily"), DAILY)),
     "old_comment_map": lambda f: corrections.comment_map(f.ingest_third("daily").corrections),
     "corrections_daily": lambda f: f.ingest_third("daily").new_corrections,
     "corrections_weekly": lambda f: f.ingest_third("weekly").new_corrections,
@@ -400,4 +408,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weekly means straight from the daily feed."""
     f = Feeds(spark, sf_dir)
-    return rollup.averages(as_state(f.daily, DAILY), f.registry, WEEKLY)
+    return rollup.averages(as_state(f.normalized("daily"), DAILY), f.registry, WEEKLY)
