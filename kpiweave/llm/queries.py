@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kpiweave.llm import fingerprint, hamming, langid, mixing, neardup, packing, quality, substrings, toxicity, urlfilter
+from kpiweave.session import prepare
 
 RULES = (
     ("block", "net", "/"),
@@ -18,7 +19,7 @@ RULES = (
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
