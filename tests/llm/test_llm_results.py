@@ -281,3 +281,19 @@ def test_trust_follows_links_and_distrust_goes_back(spark):
     for _ in range(urlfilter.ROUNDS // 2):  # a cycle of two steps through b
         b, a = a * d / 2, 2.0 + a * d * d / 2
     assert mass["a"] == pytest.approx(a) and mass["b"] == mass["c"]
+
+
+def test_links_to_blocked_hosts_block_at_the_production_threshold(spark):
+    page = lambda i, host, *to: (i, f"http://{host}/p{i}", "".join(f'<a href="http://{t}/x">' for t in to))
+    rows = [page(1, "bad.net"), page(2, "far.com", "farm0.com"), page(3, "good.org", "both.com"), page(4, "both.com", "bad.net")]
+    rows += [page(10 + 3 * k + i, f"farm{k}.com", "bad.net") for k in range(3) for i in range(3)]  # equal ones, of several pages
+    rows += [page(100 + i, "hot.com", *(["bad.net"] if i < 2 else [])) for i in range(50)]
+    rows += [page(200 + i, "news.com", "bad.net" if i == 0 else "else.com") for i in range(10)]
+    rows += [page(300, "a.com", "b.com"), page(301, "b.com", "a.com", "a.com", "a.com", "bad.net")]  # a cycle
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = {r["host"]: (r["verdict"], r["host_score"]) for r in urlfilter.judge(pages, [("block", "net", "/"), ("allow", "good.org", "/")]).collect()}
+    d = urlfilter.DAMPING
+    b = d / 4 / (1 - d * d * 3 / 4)
+    expected = {"farm0.com": d, "farm1.com": d, "farm2.com": d, "hot.com": d, "far.com": d * d, "news.com": d / 10, "both.com": 0.0, "a.com": d * b, "b.com": b}
+    for host, score in expected.items():
+        assert found[host] == ("block" if score >= urlfilter.THRESHOLD else "allow", pytest.approx(score, abs=2 * urlfilter.TOLERANCE)), host
