@@ -2,7 +2,7 @@
 
 State for the single-delivery queries holds the first two deliveries side by side (so keys repeat with
 several files, values and remarks); the third is the one ingested. The fold queries start from nothing
-and take all three. Means are rounded here, for comparison between engines, never in an operator.
+and take all three; the stored ones fold the third, as two, onto the state and log that the first two leave. Means are rounded here, for comparison between engines, never in an operator.
 """
 
 from __future__ import annotations
@@ -79,6 +79,11 @@ class Feeds:
     def market_map(self) -> DataFrame:
         return self.view("fx_market")
 
+    @cached_property
+    def region_map(self) -> DataFrame:
+        """Codes by region, the markets of the weekly feed."""
+        return self.view("fx_region_market")
+
     @cached_property
     def manifest(self) -> DataFrame:
         return self.view("fx_manifest")
@@ -130,6 +135,17 @@ class Feeds:
         rows, grain = self.rows(name)
         return fold(rows, self.empty_state(grain), self.empty_log(), grain, RUN_TS, compat, name == "multimarket")
 
+    def fold_stored(self, name: str) -> upsert.Ingested:
+        rows, grain = self.rows(name)
+        multimarket = name == "multimarket"
+        first = fold(
+            rows.filter("delivery < 3"), self.empty_state(grain), self.empty_log(), grain, RUN_TS, multimarket=multimarket
+        )
+        state, log = staged(first.output, f"{name}-state"), staged(first.corrections, f"{name}-log")
+        later = F.when(F.expr(views.LATER[name]), 4).otherwise(3)
+        third = rows.filter("delivery = 3").withColumn("delivery", later.cast(rows.schema["delivery"].dataType))
+        return fold(third, state, log, grain, RUN_TS, multimarket=multimarket)
+
     def daily_averages(self, grain: Grain) -> DataFrame:
         return rollup.averages(self.fold_all("daily").output, self.registry, grain)
 
@@ -158,6 +174,11 @@ class Feeds:
             start, as_of = DAILY_START, DAILY_AS_OF
         return matrix.matrix(flags, self.market_map, output, start, as_of, grain, compat)
 
+    def matrix_delivered(self) -> DataFrame:
+        """The weekly matrix over the periods and markets of the delivered weekly rows."""
+        flags = registry.request_flags(self.registry, views.GRID)
+        return matrix.matrix(flags, self.region_map, self.weekly_table(), PERIOD_START, PERIOD_AS_OF, WEEKLY)
+
     @cached_property
     def parsed_manifest(self) -> DataFrame:
         return deliveries.parse_names(self.manifest)
@@ -356,6 +377,11 @@ QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "fold_deliveries_weekly": lambda f: f.fold_all("weekly").output,
     "fold_corrections_weekly": lambda f: f.fold_all("weekly").new_corrections,
     "fold_multimarket": lambda f: f.fold_all("multimarket").output,
+    "fold_stored_deliveries": lambda f: f.fold_stored("daily").output,
+    "fold_stored_corrections": lambda f: f.fold_stored("daily").corrections,
+    "fold_stored_deliveries_weekly": lambda f: f.fold_stored("weekly").output,
+    "fold_stored_corrections_weekly": lambda f: f.fold_stored("weekly").corrections,
+    "fold_stored_multimarket": lambda f: f.fold_stored("multimarket").output,
     # roll-ups
     "weekly_averages": lambda f: _mean_columns(f.daily_averages(WEEKLY)),
     "monthly_averages": lambda f: _mean_columns(f.daily_averages(MONTHLY)),
@@ -372,6 +398,7 @@ QUERIES: dict[str, Callable[[Feeds], DataFrame]] = {
     "matrix_daily": lambda f: f.matrix(DAILY),
     "matrix_daily_compat": lambda f: f.matrix(DAILY, compat=True),
     "matrix_weekly": _matrix_weekly,
+    "matrix_weekly_delivered": lambda f: f.matrix_delivered().withColumn("KPI_Value", rounded(F.col("KPI_Value"))),
     "matrix_monthly": lambda f: f.matrix(MONTHLY),
     "matrix_outer": _matrix_outer,
     "matrix_outer_compat": lambda f: _matrix_outer(f, compat=True),

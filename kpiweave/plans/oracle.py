@@ -3,7 +3,7 @@ business rules and sharing nothing with the operators but the input views."""
 
 from __future__ import annotations
 
-from kpiweave.plans.views import COUNTRIES, GRID, TABLES, VIEWS, references
+from kpiweave.plans.views import COUNTRIES, GRID, LATER, TABLES, VIEWS, references
 
 NUMBER = (
     r"(?i)^[+-]?(inf(inity)?|nan|(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?)$"
@@ -130,6 +130,12 @@ FROM {daily_fold_rows} l"""
 SELECT {output}, CASE WHEN Input_ID IN (SELECT Key_Corr FROM {{{feed}_fold_rows}}) THEN 'Correction' END AS was_corrected_Flag
 FROM (SELECT *, rank() OVER (PARTITION BY Input_ID ORDER BY delivery DESC) AS rk FROM {{{feed}}}) t WHERE rk = 1"""
 
+# the third delivery as two, folded onto what the first two leave: the same as all four in order
+for feed, later in LATER.items():
+    CTES[f"{feed}4"] = f"SELECT * REPLACE (CASE WHEN delivery = 3 AND {later} THEN 4 ELSE delivery END AS delivery) FROM {{{feed}}}"
+    for part in ("prev", "fold_rows", "fold_log", "fold_out"):
+        CTES[f"{feed}4_{part}"] = CTES[f"{feed}_{part}"].replace(f"{{{feed}", f"{{{feed}4")
+
 # --- roll-ups ------------------------------------------------------------------------------------
 
 
@@ -278,6 +284,11 @@ SELECT g.*, {value} AS KPI_Value, coalesce(l.IsDelivered, '0') AS IsDelivered, l
        l.was_corrected_Flag
 FROM {{grid_{g}}} g LEFT JOIN {{look_{g}}} l ON l.Input_ID = g.KEY1"""
 
+CTES["grid_wd"] = _grid("{matrix_months}", "KPI_Name", "requested_Weekly", "w", where="WeekDay = 0").replace("{fx_market}", "{fx_region_market}")
+CTES["state_wd"] = "SELECT * FROM {weekly_table} WHERE Input_ID IN (SELECT KEY1 FROM {grid_wd})"
+CTES["look_wd"] = _lookups("{state_wd}", _PERIOD_ATTRIBUTES)
+CTES["matrix_wd"] = CTES["matrix_w"].replace("{grid_w}", "{grid_wd}").replace("{look_w}", "{look_wd}")
+
 _OUTER_ATTRIBUTES = ("KPI_Value", "IsDelivered", *_PERIOD_ATTRIBUTES)
 _OUTER_JOINS = "\n".join(
     f"JOIN (SELECT DISTINCT Input_ID, {a} AS x{i} FROM s) a{i} ON a{i}.Input_ID = v.Input_ID"
@@ -422,6 +433,11 @@ FROM (SELECT {_LOG_COLUMNS.format(kpi="KPI_ID", code="D", comments=_file_comment
     "fold_deliveries_weekly": "SELECT * FROM {weekly_fold_out}",
     "fold_corrections_weekly": "SELECT * FROM {weekly_fold_log}",
     "fold_multimarket": "SELECT * FROM {multimarket_fold_out}",
+    "fold_stored_deliveries": "SELECT * FROM {daily4_fold_out}",
+    "fold_stored_corrections": "SELECT * FROM {daily4_fold_log}",
+    "fold_stored_deliveries_weekly": "SELECT * FROM {weekly4_fold_out}",
+    "fold_stored_corrections_weekly": "SELECT * FROM {weekly4_fold_log}",
+    "fold_stored_multimarket": "SELECT * FROM {multimarket4_fold_out}",
     "weekly_averages": _rounded("weekly_avg"),
     "monthly_averages": _rounded("monthly_avg"),
     "weekly_averages_merged": _rounded("weekly_merged"),
@@ -437,6 +453,7 @@ SELECT DISTINCT upper(trim(KPI_ID)) AS KPI_ID, upper(trim(KPI_Name)) AS KPI_Name
     "matrix_daily": "SELECT * FROM {matrix_d}",
     "matrix_daily_compat": "SELECT * FROM {matrix_d_literal}",
     "matrix_weekly": "SELECT * FROM {matrix_w}",
+    "matrix_weekly_delivered": "SELECT * FROM {matrix_wd}",
     "matrix_monthly": "SELECT * FROM {matrix_m}",
     "matrix_outer": """
 SELECT g.Natco, g.KPI_ID, g.KPI_Name, g.requested_Weekly, g."Date", coalesce(g.KEY1, l.Input_ID) AS KEY1,

@@ -14,10 +14,16 @@ TABLES = (
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
+#: The rows of a feed's third delivery that come as a fourth where two deliveries are folded onto a filled state.
+LATER = {"daily": "SourceSystem < 'SRC2'", "weekly": "coalesce(Remarks, '') < 'm'", "multimarket": "coalesce(Remarks, '') < 'm'"}
+
 VIEWS = {
     "fx_market": """
 SELECT substr('ABCDEFGHIJKLMNOPQRSTUVWXY', n_nationkey + 1, 1) || 'X' AS code, n_name AS market
 FROM {nation}""",
+    "fx_region_market": """
+SELECT substr('ABCDEFGHIJKLMNOPQRSTUVWXY', n.n_nationkey + 1, 1) || 'X' AS code, r.r_name AS market
+FROM {nation} n JOIN {region} r ON n.n_regionkey = r.r_regionkey""",
     "fx_daily_raw": """
 SELECT event_id AS row_no,
        CASE WHEN event_id % 50 = 0 THEN 'C' ELSE 'L' END AS Marker,
