@@ -21,18 +21,19 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that are alike in 80% of their shingles of five words: the one of the least id.
-    Texts without words stay. Of rows with equal id and equal shingles one stays."""
-    found = neardup.near_duplicates(docs, words=5, percent=80)
-    kept = written(found.where(F.col("id").eqNullSafe(F.col("component_id"))).groupBy("id").agg(F.count("*").alias("n")), "pipeline-kept")
-    ids = kept.select(F.col("id").alias("__id"), (F.col("n") > 1).alias("__repeated"))
-    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["__id"]))
-    once = rows.where("NOT __repeated").select(*own_columns(docs))
-    if kept.where("n > 1").isEmpty():
-        return once
-    again = rows.where("__repeated").withColumn("__text", F.lower(F.regexp_replace(F.coalesce(docs["text"], F.lit("")), r"[\x20\x09-\x0D]+", " ")))
-    again = again.dropDuplicates(["__id", "__text"]).select(*own_columns(docs))
-    return once.unionByName(again)
+    """One row of each group of texts that are alike in 80% of their shingles of five words: the one of the least id, null
+    ids last. Texts without words stay. Where ids are repeated or null, rows are told apart by a number written beside them."""
+    id = F.col("doc_id").cast("long").alias("id")
+    if docs.select(id).groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL").isEmpty():
+        found = neardup.near_duplicates(docs, words=5, percent=80)
+        kept = written(found.where("id = component_id").select(F.col("id").alias("__id")), "pipeline-kept")
+        return docs.join(kept, docs["doc_id"] == kept["__id"]).select(*own_columns(docs))
+    rows = written(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    found = neardup.near_duplicates(rows, words=5, percent=80, id_column="__row")
+    order = F.struct(F.col("id").isNull(), "id", F.xxhash64("text"), "__row")
+    named = found.select(F.col("id").alias("__row"), "component_id").join(rows.select("__row", id, "text"), "__row")
+    first = named.groupBy("component_id").agg(F.min(order)["__row"].alias("__row"))
+    return rows.join(written(first.select("__row"), "pipeline-kept"), "__row").select(*own_columns(docs))
 
 
 def without_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
