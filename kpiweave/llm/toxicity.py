@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -104,6 +104,11 @@ class Backoff:
             lower = Backoff(keys, before, k, lower)
         return lower
 
+    def backoff_weight(self, contexts: np.ndarray) -> np.ndarray:
+        """The part of the lower orders' probability that a gram has which was not seen after its context."""
+        total, kinds = _find(self.contexts, self.totals, contexts), _find(self.contexts, self.kinds, contexts)
+        return np.where(total > 0, self.discount * kinds / np.maximum(total, 1), 1.0)
+
     def probability(self, grams_: np.ndarray) -> np.ndarray:
         """Probability of each gram's last byte after the ones before it."""
         key = grams_ & np.uint32((1 << 8 * self.order) - 1)
@@ -122,10 +127,25 @@ def _find(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray) -> np.ndarra
 
 @dataclass
 class Model:
-    table: np.ndarray  # log-likelihood ratio by slot of the gram
+    keys: np.ndarray  # sorted grams that were seen
+    ratio: np.ndarray  # log-likelihood ratio of each
+    contexts: np.ndarray  # sorted beginnings that were seen
+    backoff: np.ndarray  # log ratio of the weights by which an unseen gram falls back to the shared lower orders, by beginning
+    slots: np.ndarray  # by hash of a gram the place among the keys of the most frequent one there: a short cut to it
     slope: float = 1.0
     shift: float = 0.0
 
+    def ratio_of(self, found: np.ndarray) -> np.ndarray:
+        """Log-likelihood ratio of each gram. The lower orders are shared, so that of an unseen one is its backoff's."""
+        at = self.slots[_slots(found)]
+        values = self.ratio[at]
+        missed = np.flatnonzero(self.keys[at] != found)
+        if len(missed):
+            rest = found[missed]
+            at = np.minimum(np.searchsorted(self.keys, rest), len(self.keys) - 1)
+            values[missed] = np.where(self.keys[at] == rest, self.ratio[at], _find(self.contexts, self.backoff, rest >> np.uint32(8)))
+        return values
+
     def ratios(self, texts: list[str | None]) -> np.ndarray:
         """Log-likelihood of each text under the toxic less that under the ordinary model, over a power of its words."""
         raw = [normal(t) for t in texts]
@@ -134,10 +154,10 @@ class Model:
             data = np.frombuffer(b"".join(raw[i:j]), np.uint8)
             if j == i + 1:
                 for at in range(0, max(len(data) - ORDER + 1, 0), BLOCK):
-                    total[i] += self.table[_slots(grams(data[at : at + BLOCK + ORDER - 1]))].sum(dtype=np.float64)
+                    total[i] += self.ratio_of(grams(data[at : at + BLOCK + ORDER - 1])).sum(dtype=np.float64)
                 continue
             offsets = np.concatenate([[0], np.cumsum([len(t) for t in raw[i:j]])])
-            values = np.concatenate([self.table[_slots(grams(data))], np.zeros(min(ORDER - 1, len(data)), np.float32)])
+            values = np.concatenate([self.ratio_of(grams(data)), np.zeros(min(ORDER - 1, len(data)), np.float32)])
             for k in range(1, ORDER):
                 over = offsets[1:] - k
                 values[over[over >= offsets[:-1]]] = 0
@@ -150,16 +170,17 @@ class Model:
         return 0.5 * (1 + np.tanh(0.5 * (self.slope * self.ratios(texts) + self.shift)))
 
 
-def ratio_table(keys: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Log-likelihood ratio of each gram that was seen, 0 elsewhere; of grams in one slot the most frequent stays."""
+def ratio_model(keys: np.ndarray, ordinary: np.ndarray, toxic: np.ndarray) -> Model:
+    """The log-likelihood ratios of both classes, of sorted ``keys`` with their counts."""
     shared = Backoff.shared(keys, ORDER)
     models = [Backoff(keys[c > 0], c[c > 0], ORDER, shared) for c in (ordinary, toxic)]
-    table = np.zeros(1 << TABLE_BITS, np.float32)
-    if len(keys):
-        rare_first = np.argsort(ordinary + toxic, kind="stable")
-        ratio = np.log(models[1].probability(keys) / models[0].probability(keys))
-        table[_slots(keys[rare_first])] = ratio[rare_first]
-    return table
+    ratio = np.log(models[1].probability(keys) / models[0].probability(keys)).astype(np.float32)
+    contexts = np.unique(keys >> np.uint32(8))
+    weights = [np.log(m.backoff_weight(contexts)) for m in models]
+    slots = np.zeros(1 << TABLE_BITS, np.int32)
+    rare_first = np.argsort(ordinary + toxic, kind="stable")
+    slots[_slots(keys[rare_first])] = rare_first
+    return Model(keys, ratio, contexts, (weights[1] - weights[0]).astype(np.float32), slots)
 
 
 def calibrate(model: Model, ratios: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> Model:
@@ -177,7 +198,7 @@ def calibrate(model: Model, ratios: np.ndarray, labels: np.ndarray, weights: np.
     slopes = np.geomspace(0.05, 50, 60)
     loss = [(w * np.logaddexp(0, np.where(y == 1, -1, 1) * k * (x - middle))).sum() for k in slopes]
     slope = float(slopes[int(np.argmin(loss))])
-    return Model(model.table, slope, -slope * float(middle))
+    return replace(model, slope=slope, shift=-slope * float(middle))
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model | None:
@@ -185,7 +206,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
 
     Counts cover every such text. A fifth of them is counted apart: the models of the other four fifths score at most
     ``per_class`` texts of it in each class, which calibrates the score; the final models use all counts. The counted
-    grams are of 4 bytes, so their number follows the alphabets and not the corpus; the scoring table has 2**22 slots."""
+    grams are of 4 bytes, so their number follows the alphabets and not the corpus; all of them are looked up exactly."""
     crc = F.crc32(F.col("id").cast("string").cast("binary"))
     labelled = (
         labels.where(learnable(F.col("id")) & F.col("label").isin(*CLASSES))
@@ -199,7 +220,7 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     both = [a + counted[f"f1c{c}"].to_numpy() for c, a in zip(CLASSES, first)]
     if not all(a.sum() for a in both):
         return None
-    trial, model = Model(ratio_table(keys, *(first if all(a.sum() for a in first) else both))), Model(ratio_table(keys, *both))
+    trial, model = ratio_model(keys, *(first if all(a.sum() for a in first) else both)), ratio_model(keys, *both)
     sample, totals = _calibration(docs, labelled, per_class)
     if not len(sample):
         return model
