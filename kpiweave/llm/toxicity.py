@@ -221,21 +221,29 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     if not all(a.sum() for a in both):
         return None
     trial, model = ratio_model(keys, *(first if all(a.sum() for a in first) else both)), ratio_model(keys, *both)
-    sample, totals = _calibration(docs, labelled, per_class)
+    sample, totals = _calibration(docs, labelled, per_class, trial)
     if not len(sample):
         return model
     label = sample["label"].to_numpy()
     weights = np.array([totals[c] / (label == c).sum() for c in label])
-    return calibrate(model, trial.ratios(sample["text"].tolist()), label, weights)
+    return calibrate(model, sample["ratio"].to_numpy(), label, weights)
 
 
-def _calibration(docs: DataFrame, labelled: DataFrame, per_class: int) -> tuple[pd.DataFrame, dict[int, int]]:
+def _calibration(docs: DataFrame, labelled: DataFrame, per_class: int, trial: Model) -> tuple[pd.DataFrame, dict[int, int]]:
+    """(id, label, ratio) under ``trial`` of the sample, and how many each label has. Texts stay on the executors."""
+
+    def rate(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            yield pd.DataFrame({"id": frame["id"], "label": frame["label"], "ratio": trial.ratios(frame["text"].tolist())})
+
     apart = labelled.where("fold = 1")
     totals = {r["label"]: r["n"] for r in apart.groupBy("label").agg(F.count("*").alias("n")).collect()}
     first = Window.partitionBy("label").orderBy(F.xxhash64("id"), "id")
     picked = apart.withColumn("rank", F.row_number().over(first)).where(F.col("rank") <= per_class).select("id", "label")
-    sample = docs.join(F.broadcast(picked), "id").select("id", "label", "text").toPandas()
-    return sample.sort_values(["id", "label"], ignore_index=True), totals
+    sample = on_workers(docs).join(F.broadcast(picked), "id").select("id", "label", "text")
+    id_type = docs.schema["id"].dataType.simpleString()
+    sample = sample.mapInPandas(rate, f"id {id_type}, label int, ratio double").toPandas()
+    return sample.sort_values(["id", "label", "ratio"], ignore_index=True), totals
 
 
 def judge(

@@ -22,3 +22,14 @@ def test_grams_are_scored_exactly_and_unseen_ones_by_backoff():
     classes = [toxicity.Backoff(keys[c > 0], c[c > 0], toxicity.ORDER, shared) for c in counts]
     expected = np.log(classes[1].probability(every) / classes[0].probability(every))
     assert np.allclose(model.ratio_of(every), expected, atol=1e-5)
+
+
+def test_calibration_brings_no_text_to_the_driver(spark):
+    keys = np.unique(toxicity.grams(np.frombuffer(b" some words of no meaning ", np.uint8)))
+    trial = toxicity.ratio_model(keys, np.ones(len(keys), int), np.arange(len(keys)))
+    texts = ["some words", None, "meaning " * 50_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string")
+    labelled = spark.createDataFrame([(0, 0, 1), (1, 1, 1), (2, 1, 1)], "id long, label int, fold int")
+    sample, totals = toxicity._calibration(docs, labelled, 10, trial)
+    assert list(sample.columns) == ["id", "label", "ratio"] and totals == {0: 1, 1: 2}
+    assert np.allclose(sample["ratio"], trial.ratios(texts))
