@@ -30,20 +30,21 @@ class Encoder:
 
     Where the vocabulary also lies there as a file of ranks, texts of Latin letters alone are encoded by ``tiktoken``,
     which takes a quarter of the time and splits and merges them alike (a test compares both); all others, whose letters
-    two Unicode tables might class differently, go through ``tokenizers``."""
+    two Unicode tables might class differently, and those that hold the string of an added token go through ``tokenizers``."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.added = re.compile("|".join(map(re.escape, added)) or "(?!)")  # a text that holds one has its id
         self.ranked = _ranked(Path(path).with_suffix(".tiktoken"))
 
     def encode(self, text: str) -> bytes:
         if not text.isascii() and not _LATIN.fullmatch(text):
             text = text.encode("utf-8", "replace").decode()  # a lone surrogate is no text
-        elif self.ranked:
+        elif self.ranked and not self.added.search(text):
             return np.array(self.ranked.encode_ordinary(text), "<u4").tobytes()
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4").tobytes()
 
