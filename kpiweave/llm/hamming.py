@@ -18,8 +18,10 @@ PROBES_PER_BATCH = 1 << 21
 
 
 def sign_code(vector: Column, bits: int = BITS) -> Column:
-    """Bit i is set where component i is above 0; null for a null vector. Missing components count as 0."""
-    return F.when(
+    """Bit i is set where component i is above 0; null for a null vector. Missing components count as 0; a vector of more
+    than ``bits`` components raises an error, as its code would be that of a prefix."""
+    too_wide = F.concat(F.lit(f"a code has {bits} bits, a vector "), F.size(vector).cast("string"), F.lit(" components"))
+    return F.when(F.size(vector) > bits, F.raise_error(too_wide).cast("long")).when(
         vector.isNotNull(),
         F.aggregate(
             F.sequence(F.lit(0), F.lit(bits - 1)), F.lit(0).cast("long"),
