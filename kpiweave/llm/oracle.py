@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from kpiweave.llm import fingerprint, urlfilter
+from kpiweave.llm import divergence, fingerprint, urlfilter
 
 MIX = r"""
 WITH sized AS (
@@ -123,10 +123,61 @@ QUALIFY rank <= 10
 """
 
 
+def divergence_sql() -> str:
+    term, upper, lower = divergence.TERM, divergence.UPPER, divergence.LOWER
+    scale, least, top = divergence.SCALE, divergence.MIN_DOCS, divergence.TOP_TERMS
+    return f"""
+WITH base AS (
+    SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text
+    FROM documents
+), words AS (
+    SELECT rid, lang, source, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'), '{term}')) AS term FROM base
+), counts AS (
+    SELECT lang, source, term, count(*)::HUGEINT AS cnt, count(DISTINCT rid) AS docs FROM words GROUP BY lang, source, term
+), kept AS (
+    SELECT lang, term FROM counts GROUP BY lang, term HAVING sum(docs) >= {least}
+), sizes AS (
+    SELECT lang, count(*)::HUGEINT AS v FROM kept GROUP BY lang
+), groups AS (
+    SELECT DISTINCT lang, source FROM base
+), dense AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.cnt, 0) AS cnt
+    FROM groups g JOIN kept k ON g.lang = k.lang
+    LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), gp AS (
+    SELECT d.lang, d.source, d.term, d.cnt,
+           1 + ({scale}::HUGEINT * (d.cnt + 2)) // (sum(d.cnt) OVER (PARTITION BY d.lang, d.source) + 2 * s.v) AS p
+    FROM dense d JOIN sizes s ON d.lang = s.lang
+), lt AS (
+    SELECT lang, term, sum(cnt) AS cnt FROM dense GROUP BY lang, term
+), lp AS (
+    SELECT l.lang, l.term, 1 + ({scale}::HUGEINT * (l.cnt + 2)) // (sum(l.cnt) OVER (PARTITION BY l.lang) + 2 * s.v) AS q
+    FROM lt l JOIN sizes s ON l.lang = s.lang
+), pair_sums AS (
+    SELECT x.lang, x.source, y.source AS item, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) AS value
+    FROM gp x JOIN gp y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source
+    GROUP BY x.lang, x.source, y.source
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pair_sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+), terms AS (
+    SELECT g.lang, g.source, 'term' AS part, g.term AS item, (((g.p - l.q) * (g.p - l.q)) // (g.p + l.q))::BIGINT AS value
+    FROM gp g JOIN lp l ON g.lang = l.lang AND g.term = l.term
+    WHERE g.cnt > 0 AND g.p > l.q
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item ASC)::INTEGER AS rank
+    FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+)
+SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {top}
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_mix_sources": MIX,
         "op5_url_filter": url_filter(),
         "op6_exact_top_k": TOP_K,
         "op10_merkle_fingerprints": merkle(),
+        "op11_source_divergence": divergence_sql(),
     }

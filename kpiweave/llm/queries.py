@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kpiweave.llm import fingerprint, hamming, langid, mixing, neardup, packing, quality, substrings, toxicity, urlfilter
+from kpiweave.llm import (
+    divergence, fingerprint, hamming, langid, mixing, neardup, packing, quality, resampling, sharding, substrings, toxicity, urlfilter,
+)
 from kpiweave.session import prepare
 
 RULES = (
@@ -82,9 +84,27 @@ def op10_merkle_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    assigned = sharding.assign(table(spark, sf_dir, "documents"), shards=16, carry=["doc_id"])
+    return assigned.select(
+        "doc_id", F.col("__size").alias("size"), F.col("__crc").alias("text_crc32"), F.lit(sharding.LAW).alias("law"),
+        F.col("__shard").alias("shard"), F.col("__slot").alias("slot"), F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op13_importance_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resampling.draw(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), percent=10)
+    return drawn.withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     listed = [
         op1_mix_sources, op2_pack_sequences, op3_language_id, op4_toxicity, op5_url_filter, op6_exact_top_k, op7_near_duplicates,
-        op8_quality, op9_substring_dedup, op10_merkle_fingerprints,
+        op8_quality, op9_substring_dedup, op10_merkle_fingerprints, op11_source_divergence, op12_shard_documents,
+        op13_importance_resample,
     ]
     return {f.__name__: f for f in listed}
