@@ -61,12 +61,12 @@ def assign(
     scatter hashes the row's own number, not its content. Null ids stay. An empty table gives an empty result. Columns
     of ``docs`` named like the added ones are replaced. The result depends on the seed, the rows and their order in the
     input, so reruns over the same files agree."""
-    spark = docs.sparkSession
     carried = [c for c in (docs.columns if carry is None else carry) if c not in ("__size", "__crc", "__shard", "__slot")]
     raw = F.encode(F.coalesce(F.col(text).cast("string"), F.lit("")), "UTF-8")
+    # Records travel under plain names, whatever signs the given names hold.
     rows = written(
         docs.select(
-            *[F.col("`" + c.replace("`", "``") + "`") for c in carried],
+            *[F.col("`" + c.replace("`", "``") + "`").alias(f"__c{i}") for i, c in enumerate(carried)],
             (F.octet_length(raw) + 1).cast("long").alias("__size"),
             F.crc32(raw).alias("__crc"),
             F.monotonically_increasing_id().alias("__row"),
@@ -88,7 +88,7 @@ def assign(
     ).fillna(0, ["__offset"])
     placed = shuffled.join(offsets, "__bucket").withColumn("__global", F.col("__offset") + F.col("__place"))
     return placed.select(
-        *[F.col("`" + c.replace("`", "``") + "`") for c in carried],
+        *[F.col(f"__c{i}").alias(c) for i, c in enumerate(carried)],
         "__size", "__crc",
         (F.col("__global") % shards).cast("int").alias("__shard"),
         F.expr(f"__global div {shards}").alias("__slot"),
