@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from kpiweave.llm.stage import written
+
 # Fixed values of the contract: the characters that make a term, the blanks that cut chunks, the scale of p.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 BLANKS = r"[\x09-\x0D\x20]+"
@@ -50,32 +52,38 @@ def top_per_group(df: DataFrame, keys: list[str], n: int, salts: int = 64) -> Da
 def term_counts(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
     """(lang, source, term, count, docs): occurrences of each term in a (lang, source) group and the number of its
     documents that hold it, by chunk factorization. Null text, lang and source read as ''; every row is a document of
-    its own, repeated rows included."""
+    its own, repeated rows included.
+
+    Chunks are counted per group (occurrences; partial counts combine before the shuffle) and listed once per document
+    that holds them (documents); each globally distinct chunk is tokenized once and its terms joined back to both."""
     rows = docs.select(
         F.coalesce(F.col(lang).cast("string"), F.lit("")).alias("lang"),
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("source"),
-        F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
-    ).withColumn("row", F.monotonically_increasing_id())
-    # Chunks per document, counted: one row per (document, distinct chunk).
-    chunks = (
-        rows.select("lang", "source", "row", F.explode(F.split("text", BLANKS)).alias("chunk"))
+        F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), BLANKS).alias("chunks"),
+        F.monotonically_increasing_id().alias("row"),
+    )
+    occurring = (
+        rows.select("lang", "source", F.explode("chunks").alias("chunk"))
         .where(F.col("chunk") != "")
-        .groupBy("lang", "source", "row", "chunk")
+        .groupBy("lang", "source", "chunk")
         .agg(F.count("*").alias("n"))
     )
+    holding = rows.select("lang", "source", "row", F.explode(F.array_distinct("chunks")).alias("chunk")).where(F.col("chunk") != "")
     # Each distinct chunk tokenized once, wherever and however often it occurs.
-    terms = (
-        chunks.select("chunk").distinct()
+    terms = written(
+        occurring.select("chunk").distinct()
         .select("chunk", F.explode(F.regexp_extract_all(F.translate("chunk", UPPER, LOWER), F.lit(TERM), 0)).alias("term"))
         .groupBy("chunk", "term")
-        .agg(F.count("*").alias("k"))
+        .agg(F.count("*").alias("k")),
+        "divergence-terms",
     )
-    per_doc = (
-        chunks.join(terms, "chunk")
-        .groupBy("lang", "source", "row", "term")
-        .agg(F.sum(F.col("n") * F.col("k")).alias("count"))
+    counts = occurring.join(terms, "chunk").groupBy("lang", "source", "term").agg(F.sum(F.col("n") * F.col("k")).alias("count"))
+    holders = (
+        holding.join(terms.select("chunk", "term"), "chunk")
+        .select("lang", "source", "row", "term").distinct()
+        .groupBy("lang", "source", "term").agg(F.count("*").alias("docs"))
     )
-    return per_doc.groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.count("*").alias("docs"))
+    return written(counts.join(holders, ["lang", "source", "term"]), "divergence-counts")
 
 
 def audit(docs: DataFrame, text: str = "text", lang: str = "lang", source: str = "source") -> DataFrame:
