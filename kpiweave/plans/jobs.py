@@ -16,7 +16,7 @@ from kpiweave.operators.grain import DAILY, MONTHLY, WEEKLY, Grain
 from kpiweave.operators.upsert import replace_by_key
 from kpiweave.sinks import files
 from kpiweave.sources.staging import staged
-from kpiweave.sources.tables import LOG, Warehouse, partitions_of, read_or_empty
+from kpiweave.sources.tables import LOG, QUARANTINE, Warehouse, partitions_of, read_or_empty
 
 
 def normalized(raw: DataFrame, grain: Grain) -> DataFrame:
@@ -42,6 +42,7 @@ def run_ingest(
 
     ``regions`` restricts what the state may hold (K4), not what is logged.
     """
+    run = warehouse.begin(run_id)
     rows = staged(normalized(raw, grain), grain.name)
     parts = partitions_of(rows)
     log = warehouse.log(parts)
@@ -49,12 +50,11 @@ def run_ingest(
     output = result.output
     if regions is not None:
         output = output.filter(F.col("Region").isin(list(regions)))
-    version = warehouse.next_version()
-    warehouse.write(grain.name, output, version)
-    warehouse.write_log(result.new_corrections, version)
+    warehouse.stage(run, grain.name, output)
+    warehouse.stage_log(run, result.new_corrections)
     rejected = quarantined(raw, grain).select("Input_File", "Input_File_Time", "Value", "reason")
-    files.append(rejected.withColumn("grain", F.lit(grain.name)), f"{warehouse.root}/quarantine")
-    warehouse.commit(version, [grain.name, LOG], run_id)
+    warehouse.stage_quarantine(run, rejected.withColumn("grain", F.lit(grain.name)))
+    warehouse.publish(run, [grain.name, LOG, QUARANTINE])
     return rows
 
 
@@ -75,14 +75,14 @@ def run_averages(
             .join(periods, ["Region", "_start"], "left_semi")
             .drop("_start")
         )
+    run = warehouse.begin()
     calculated = staged(rollup.averages(daily, registry, grain), table)
     parts = partitions_of(calculated)
     before = warehouse.read(table, schemas.PERIOD_OUTPUT_SCHEMA, parts)
     merged = rollup.merge_averages(calculated, warehouse.state(grain, parts))
-    version = warehouse.next_version()
-    warehouse.write(table, replace_by_key(before, calculated), version)
-    warehouse.write(grain.name, merged, version)
-    warehouse.commit(version, [table, grain.name])
+    warehouse.stage(run, table, replace_by_key(before, calculated))
+    warehouse.stage(run, grain.name, merged)
+    warehouse.publish(run, [table, grain.name])
 
 
 def run_inputs(
@@ -109,10 +109,11 @@ def run_multimarket(
 ) -> None:
     """C4. All files are folded in order of arrival."""
     unknown = normalize.unknown_markets(raw, market_map)
-    files.append(
-        unknown.select("Input_File", "Input_File_Time", "Value", "reason").withColumn("grain", F.lit("multimarket")),
-        f"{warehouse.root}/quarantine",
+    run = warehouse.begin()
+    warehouse.stage_quarantine(
+        run, unknown.select("Input_File", "Input_File_Time", "Value", "reason").withColumn("grain", F.lit("multimarket"))
     )
+    warehouse.publish(run, [QUARANTINE])
     resolved = normalize.resolve_market(raw, market_map)
     run_ingest(warehouse, resolved, MONTHLY, run_ts, multimarket=True, regions=regions)
 

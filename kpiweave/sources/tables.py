@@ -1,19 +1,24 @@
-"""Warehouse tables as Parquet folders.
+"""Warehouse tables as Parquet folders partitioned by market and month.
 
-A state table is partitioned by market and month of the business date. A run reads only the partitions
-its delivery touches and writes them anew under its own version; one appended commit row per partition
-then makes the new version current, for all tables of the run at once. Nothing that is being read is
-overwritten, and a run that dies before its commit leaves no trace in the results.
+A run first claims its name: the next number after the last claim, taken by creating its marker file only if it does
+not exist, and only once the run before it is published. The run stages each result in its own folder, then publishes
+it with Spark's dynamic partition overwrite, which replaces in each table exactly the partitions the staged result
+holds. Two overlapping runs therefore never start from the same state: the second fails when it claims. A run that dies
+before it is published can be run again under the same run id, and then resumes its claim; nothing of it is read until
+then. Staged folders of all runs but the last two are removed.
+
+Creating a file only if absent is atomic on HDFS and on object stores with conditional writes; on a local file system
+it is a check followed by a create.
 """
 
 from __future__ import annotations
 
-import functools
+import hashlib
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from kpiweave import schemas
 from kpiweave.functions.text import or_text
@@ -21,16 +26,15 @@ from kpiweave.operators.grain import DAILY, Grain
 from kpiweave.session import prepare
 
 PARTITION = ["part_market", "part_month"]
-COMMIT_SCHEMA = StructType(
-    [
-        StructField("table", StringType()),
-        StructField("version", IntegerType()),
-        StructField("part_market", StringType()),
-        StructField("part_month", StringType()),
-        StructField("run_id", StringType()),
-    ]
-)
 LOG = "corrections"
+QUARANTINE = "quarantine"
+# Tables that every run adds to rather than replaces: their rows are kept per run as well.
+APPENDED = (LOG, QUARANTINE)
+KEEP_STAGED = 2
+
+
+class RunConflict(RuntimeError):
+    """Another run holds the warehouse, or took the same name first."""
 
 
 def state_schema(grain: Grain) -> StructType:
@@ -56,6 +60,16 @@ def partitions_of(rows: DataFrame, market: str = "Region", day: str = "Date") ->
     )
 
 
+@dataclass(frozen=True)
+class Run:
+    number: int
+    run_id: str | None
+
+
+def _digest(run_id: str | None) -> str:
+    return hashlib.sha256((run_id or "").encode()).hexdigest()[:16] if run_id else "none"
+
+
 @dataclass(frozen=True)
 class Warehouse:
     spark: SparkSession
@@ -64,62 +78,120 @@ class Warehouse:
     def __post_init__(self) -> None:
         prepare(self.spark)
 
-    def _commits(self) -> DataFrame:
-        return read_or_empty(self.spark, f"{self.root}/commits", COMMIT_SCHEMA)
-
-    def next_version(self) -> int:
-        return (self._commits().agg(F.max("version")).first()[0] or 0) + 1
+    # Files of the run markers, through the cluster's file system.
+    def _fs(self):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/_runs")
+        return path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()), path
+
+    def _markers(self) -> dict[int, dict[str, str]]:
+        """Run number -> {kind: run id digest} for kinds claim, done, dropped."""
+        fs, folder = self._fs()
+        found: dict[int, dict[str, str]] = {}
+        if not fs.exists(folder):
+            return found
+        for status in fs.listStatus(folder):
+            name = status.getPath().getName()
+            parts = name.split(".")
+            if len(parts) == 3 and parts[0].isdigit() and parts[2] in ("claim", "done", "dropped"):
+                found.setdefault(int(parts[0]), {})[parts[2]] = parts[1]
+        return found
+
+    def _mark(self, run: Run, kind: str) -> bool:
+        fs, folder = self._fs()
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{run.number:012d}.{_digest(run.run_id)}.{kind}")
+        try:
+            fs.create(path, False).close()
+        except Exception as error:  # noqa: BLE001 - the JVM's FileAlreadyExistsException
+            if "FileAlreadyExists" in str(error) or "already exists" in str(error):
+                return False
+            raise
+        return True
 
     def has_run(self, run_id: str) -> bool:
-        return not self._commits().filter(F.col("run_id") == run_id).isEmpty()
-
-    def _stored(self, table: str, schema: StructType) -> DataFrame:
-        placed = StructType(
-            schema.fields + [f for f in COMMIT_SCHEMA.fields if f.name in ("version", *PARTITION)]
-        )
-        return read_or_empty(self.spark, f"{self.root}/{table}", placed)
-
-    def _only(self, table: str, parts: DataFrame | None) -> DataFrame:
-        commits = self._commits().filter(F.col("table") == table)
-        return commits if parts is None else commits.join(parts.select(*PARTITION).distinct(), PARTITION, "left_semi")
+        """Whether a run of this id has been published."""
+        digest = _digest(run_id)
+        return any(kinds.get("done") == digest for kinds in self._markers().values())
+
+    def begin(self, run_id: str | None = None, take_over: bool = False) -> Run:
+        """Claim the next run. The last claimed run must be published, unless it has this run id (then it resumes) or
+        ``take_over`` declares it dropped. Raises ``RunConflict`` where another run holds the warehouse."""
+        markers = self._markers()
+        last = max(markers, default=0)
+        if last and not ({"done", "dropped"} & markers[last].keys()):
+            if run_id is not None and markers[last]["claim"] == _digest(run_id):
+                return Run(last, run_id)
+            if not take_over:
+                raise RunConflict(f"run {last} of {self.root} is not published")
+            self._mark(Run(last, None), "dropped")
+        run = Run(last + 1, run_id)
+        if not self._mark(run, "claim"):
+            raise RunConflict(f"run {run.number} of {self.root} was claimed by another run")
+        return run
+
+    def _staged(self, run: Run, table: str) -> str:
+        return f"{self.root}/_runs/{run.number:012d}/{table}"
 
     def read(self, table: str, schema: StructType, parts: DataFrame | None = None) -> DataFrame:
-        """The current rows, of the given partitions only. The commit rows prune the scan."""
-        current = self._only(table, parts).groupBy(*PARTITION).agg(F.max("version").alias("version"))
-        stored = self._stored(table, schema)
-        return stored.join(current, ["version", *PARTITION], "left_semi").select(*[f"`{c}`" for c in schema.names])
+        """The published rows, of the given partitions only; a semi join on the partition columns prunes the scan."""
+        columns = [*schema.names]
+        stored = read_or_empty(self.spark, f"{self.root}/{table}", StructType(schema.fields + _partition_fields()))
+        if parts is not None:
+            # The comparison, true for every partition, marks the list as a selective side, so that dynamic partition
+            # pruning applies to the scan.
+            wanted = parts.select(*PARTITION).distinct().where(F.col("part_month") >= F.lit(""))
+            stored = stored.join(wanted, PARTITION, "left_semi")
+        return stored.select(*[f"`{c}`" for c in columns])
 
     def state(self, grain: Grain, parts: DataFrame | None = None) -> DataFrame:
         return self.read(grain.name, state_schema(grain), parts)
 
     def log(self, parts: DataFrame | None = None) -> DataFrame:
-        """Every committed version of the log counts: runs append to it."""
-        committed = self._only(LOG, parts).select("version", *PARTITION)
-        stored = self._stored(LOG, schemas.CORRECTIONS_SCHEMA)
-        return stored.join(committed, ["version", *PARTITION], "left_semi").select(*schemas.CORRECTIONS)
-
-    def write(self, table: str, rows: DataFrame, version: int, market: str = "Region", day: str = "Date") -> None:
-        """Rows are gathered by partition before the write; AQE splits the large ones again."""
-        placed = partitions_of(rows, market, day).hint("rebalance", *PARTITION)
-        writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "static")
-        writer.partitionBy(*PARTITION).parquet(f"{self.root}/{table}/version={version}")
-
-    def write_log(self, rows: DataFrame, version: int) -> None:
-        self.write(LOG, rows, version, "Natco", "DatumKPI")
-
-    def commit(self, version: int, tables: list[str], run_id: str | None = None) -> None:
-        """Partitions come from the folders just written, not from the data. The run leaves a row of
-        its own, so that it is known even if it wrote nothing."""
-        run = self.spark.range(1).select(
-            F.lit("run").alias("table"), F.lit(version).alias("version"), F.lit("none").alias("part_market"),
-            F.lit("none").alias("part_month"),
-        )
-        entries = functools.reduce(DataFrame.unionByName, [self._stored_version(t, version) for t in tables], run)
-        entries.withColumn("run_id", F.lit(run_id).cast("string")).coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-
-    def _stored_version(self, table: str, version: int) -> DataFrame:
-        keys = StructType([f for f in COMMIT_SCHEMA.fields if f.name in PARTITION])
-        stored = read_or_empty(self.spark, f"{self.root}/{table}/version={version}", keys)
-        return stored.select(
-            F.lit(table).alias("table"), F.lit(version).alias("version"), *PARTITION
-        ).distinct()
+        """Every published run's corrections."""
+        return self.read(LOG, schemas.CORRECTIONS_SCHEMA, parts).select(*schemas.CORRECTIONS)
+
+    def stage(self, run: Run, table: str, rows: DataFrame, market: str = "Region", day: str = "Date") -> None:
+        """The run's result for ``table``, by partition, in the run's own folder. Rows are gathered by partition before
+        the write; AQE splits the large ones again."""
+        self._write_staged(run, table, partitions_of(rows, market, day))
+
+    def _write_staged(self, run: Run, table: str, placed: DataFrame) -> None:
+        placed.hint("rebalance", *PARTITION).write.mode("overwrite").partitionBy(*PARTITION).parquet(self._staged(run, table))
+
+    def stage_log(self, run: Run, rows: DataFrame) -> None:
+        self.stage(run, LOG, rows, "Natco", "DatumKPI")
+
+    def stage_quarantine(self, run: Run, rows: DataFrame) -> None:
+        """Rejected rows of the run, kept under its number like the log, so that a repeated run holds them once."""
+        placed = rows.withColumn("part_market", or_text(F.col("grain"), "none")).withColumn("part_month", F.lit("none"))
+        self._write_staged(run, QUARANTINE, placed)
+
+    def publish(self, run: Run, tables: list[str]) -> None:
+        """Replace, table by table, the partitions the run staged; appended tables take the run's own partitions. Then
+        mark the run published and remove staged folders older than the last ``KEEP_STAGED`` runs."""
+        for table in tables:
+            try:
+                staged = self.spark.read.parquet(self._staged(run, table))
+            except AnalysisException as error:
+                # A result without rows leaves no files: no partition to replace.
+                if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+                    raise
+                continue
+            keys = PARTITION
+            if table in APPENDED:
+                staged, keys = staged.withColumn("part_run", F.lit(run.number)), [*PARTITION, "part_run"]
+            (
+                staged.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy(*keys)
+                .parquet(f"{self.root}/{table}")
+            )
+        self._mark(run, "done")
+        fs, folder = self._fs()
+        for number in self._markers():
+            old = self.spark._jvm.org.apache.hadoop.fs.Path(folder, f"{number:012d}")
+            if number <= run.number - KEEP_STAGED and fs.exists(old):
+                fs.delete(old, True)
+
+
+def _partition_fields() -> list[StructField]:
+    return [StructField(name, StringType()) for name in PARTITION]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from kpiweave.operators.grain import DAILY, MONTHLY, WEEKLY
 from kpiweave.plans import jobs
 from kpiweave.sources import feeds
-from kpiweave.sources.tables import Warehouse
+from kpiweave.sources.tables import RunConflict, Warehouse
 from kpiweave.streaming.ingest import ingest_stream, read_daily_stream
 
 
@@ -169,13 +169,49 @@ def test_a_run_reads_only_the_partitions_it_touches(spark, tmp_path):
     assert "dynamicpruning" in state._jdf.queryExecution().executedPlan().toString().lower()
 
 
-def test_uncommitted_version_is_not_read(spark, tmp_path):
+def test_unpublished_run_is_not_read_and_holds_the_warehouse(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "w"))
     put(tmp_path / "in" / "MA" / "daily", "a.csv", [daily_line("20240101", "k1", "1")], 10)
     jobs.run_ingest(warehouse, feeds.read_daily(spark, str(tmp_path / "in")), DAILY, 1.0)
-    lost = warehouse.state(DAILY).withColumn("Value", F.lit(9.0))
-    warehouse.write("daily", lost, warehouse.next_version())
+    run = warehouse.begin("first")
+    warehouse.stage(run, "daily", warehouse.state(DAILY).withColumn("Value", F.lit(9.0)))
     assert [r.Value for r in warehouse.state(DAILY).collect()] == [1.0]
+    # An overlapping run fails when it claims; the same run id resumes the claim.
+    with pytest.raises(RunConflict):
+        warehouse.begin("second")
+    assert warehouse.begin("first") == run
+    warehouse.publish(run, ["daily"])
+    assert [r.Value for r in warehouse.state(DAILY).collect()] == [9.0]
+    assert warehouse.has_run("first") and not warehouse.has_run("second")
+    # A run that died can be dropped by the next one.
+    dead = warehouse.begin("dead")
+    warehouse.stage(dead, "daily", warehouse.state(DAILY).withColumn("Value", F.lit(5.0)))
+    taken = warehouse.begin("next", take_over=True)
+    assert taken.number == dead.number + 1 and [r.Value for r in warehouse.state(DAILY).collect()] == [9.0]
+
+
+def test_overlapping_runs_do_not_lose_rows(spark, tmp_path, rows):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    for name, day in (("a.csv", "20240101"), ("b.csv", "20240102")):
+        put(tmp_path / name / "MA" / "daily", name, [daily_line(day, "k1", "1")], 10)
+    first = feeds.read_daily(spark, str(tmp_path / "a.csv"))
+    claim = warehouse.begin("other")
+    with pytest.raises(RunConflict):
+        jobs.run_ingest(warehouse, first, DAILY, 1.0)
+    warehouse.publish(claim, [])
+    jobs.run_ingest(warehouse, first, DAILY, 1.0)
+    jobs.run_ingest(warehouse, feeds.read_daily(spark, str(tmp_path / "b.csv")), DAILY, 1.0)
+    assert rows(warehouse.state(DAILY), "Date") == [("01.01.2024",), ("02.01.2024",)]
+
+
+def test_only_the_last_two_runs_keep_staged_folders(spark, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    for month in ("01", "02", "03", "04"):
+        put(tmp_path / month / "MA" / "daily", f"{month}.csv", [daily_line(f"2024{month}01", "k1", "1")], 10)
+        jobs.run_ingest(warehouse, feeds.read_daily(spark, str(tmp_path / month)), DAILY, 1.0)
+    staged = sorted(p.name for p in (tmp_path / "w" / "_runs").iterdir() if p.is_dir())
+    assert staged == ["000000000003", "000000000004"]
+    assert warehouse.state(DAILY).count() == 4
 
 
 def test_publishing(spark, tmp_path, rows, registry, market_map):
