@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import re
+
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,7 +25,8 @@ REJECTED = 0.01
 UNKNOWN = "und"
 
 _PLAIN = bytes(c if not (c < 128) or chr(c).isalpha() else 32 for c in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
+# A letter is a code point of Unicode category L; numbers such as ½, ② or ³ are none.
+_LETTER = regex.compile(r"\p{L}")
 
 
 def normal(text: str | None) -> bytes:

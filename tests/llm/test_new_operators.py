@@ -176,3 +176,10 @@ def test_draw_with_clashing_columns(spark):
     got = resampling.draw(frame(spark), frame(spark).select("text"))
     assert got.count() == frame(spark).count()
     assert got.where(F.col("rank").isNotNull()).count() == frame(spark).where(F.size(resampling.words(F.col("text"))) >= 20).count() // 10
+
+
+def test_langid_letters_are_unicode_letters():
+    from kpiweave.llm import langid
+
+    assert langid._LETTER.search("½ ② ³ 42 _ !") is None
+    assert all(langid._LETTER.search(t) for t in ("é", "東", "Ω", "x"))
