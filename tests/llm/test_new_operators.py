@@ -183,3 +183,11 @@ def test_langid_letters_are_unicode_letters():
 
     assert langid._LETTER.search("½ ② ³ 42 _ !") is None
     assert all(langid._LETTER.search(t) for t in ("é", "東", "Ω", "x"))
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "\t" * 2_000_000, "7" * 2_000_000, "!" * 2_000_000, "x" * 2_000_000, "ab  \n\n 12 ,," * 200_000])
+def test_packing_encodes_long_runs_like_tokenizers(text):
+    from kpiweave.llm import packing
+
+    enc = packing.encoder(packing.default_tokenizer())
+    assert np.frombuffer(enc.encode(text), "<u4").tolist() == enc.tokenizer.encode(text, add_special_tokens=False).ids
