@@ -23,6 +23,8 @@ from kpiweave.llm.stage import on_workers, written
 
 # Fixed values of the contract: word characters, buckets, seed text of the Gumbel key, the share drawn.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# What lies between words before A-Z are lowered. Splitting there takes a tenth of the time of extracting the words.
+BETWEEN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 BUCKETS = 10_000
@@ -34,17 +36,32 @@ FINISH = 10_000
 KEY = ["__k1", "__k2", "__k3", "__k4"]
 
 
+def pieces(text: Column) -> Column:
+    """The words of a text (null: none), letters as they are."""
+    return F.array_remove(F.split(F.coalesce(text.cast("string"), F.lit("")), BETWEEN), "")
+
+
+def lowered(word: Column) -> Column:
+    """A-Z lowered only; ``lower`` does the same on ASCII words, much faster."""
+    return F.when(F.octet_length(word) == F.length(word), F.lower(word)).otherwise(F.translate(word, UPPER, LOWER))
+
+
 def words(text: Column) -> Column:
-    return F.regexp_extract_all(F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER), F.lit(WORD), 0)
+    return F.transform(pieces(text), lowered)
 
 
 def bucket_of(word: Column) -> Column:
-    return F.pmod(F.crc32(F.encode(word, "UTF-8")), F.lit(BUCKETS))
+    return F.pmod(F.crc32(word.cast("binary")), F.lit(BUCKETS))
+
+
+def buckets(text: Column) -> Column:
+    """The bucket of each word of a text, in order."""
+    return F.transform(pieces(text), lambda w: bucket_of(lowered(w)))
 
 
 def bucket_counts(texts: DataFrame, text: str = "text") -> DataFrame:
     """(bucket, n): words of all texts per bucket; partial counts are summed before the shuffle."""
-    return texts.select(F.explode(F.transform(words(F.col(text)), bucket_of)).alias("bucket")).groupBy("bucket").agg(
+    return texts.select(F.explode(buckets(F.col(text))).alias("bucket")).groupBy("bucket").agg(
         F.count("*").alias("n")
     )
 
@@ -72,13 +89,14 @@ def scored(docs: DataFrame, table: list[int], id_column: str = "doc_id", text: s
     weight plus the Gumbel key floor(-1000 ln(-ln((h + 0.5) / 2^32))), h the first 8 hex digits of sha256 of
     ``2024:<id>`` (a null id reads as ''), eligible at least ``MIN_WORDS`` words."""
     lookup = F.array(*[F.lit(g) for g in table]).cast("array<long>")
-    found = words(F.col(text))
-    total = F.aggregate(F.transform(found, lambda w: F.element_at(lookup, (bucket_of(w) + 1).cast("int"))), F.lit(0).cast("long"), lambda a, x: a + x)
-    n = F.size(found).cast("long")
-    h = F.conv(F.substring(F.sha2(F.concat(F.lit(SEED + ":"), F.coalesce(F.col(id_column).cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("double")
+    # A projection of its own: the text is split once for both the number of its words and the sum of their gains.
+    found = docs.select(F.col(id_column).alias("id"), buckets(F.col(text)).alias("__buckets"))
+    total = F.aggregate("__buckets", F.lit(0).cast("long"), lambda a, x: a + F.element_at(lookup, (x + 1).cast("int")))
+    n = F.size("__buckets").cast("long")
+    h = F.conv(F.substring(F.sha2(F.concat(F.lit(SEED + ":"), F.coalesce(F.col("id").cast("string"), F.lit(""))), 256), 1, 8), 16, 10).cast("double")
     gumbel = F.floor(F.lit(-1000.0) * F.ln(-F.ln((h + 0.5) / F.lit(4294967296.0))))
     return (
-        docs.select(F.col(id_column).cast("long").alias("id"), n.alias("n_features"), total.alias("__total"), gumbel.alias("__gumbel"))
+        found.select(F.col("id").cast("long"), n.alias("n_features"), total.alias("__total"), gumbel.alias("__gumbel"))
         .withColumn("weight", F.when(F.col("n_features") == 0, F.lit(0).cast("long")).otherwise(
             F.expr("(__total - pmod(__total, n_features)) div n_features")))
         .select("id", "n_features", "weight", (F.col("weight") + F.col("__gumbel")).cast("long").alias("score"),

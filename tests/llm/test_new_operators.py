@@ -178,6 +178,25 @@ def test_draw_with_clashing_columns(spark):
     assert got.where(F.col("rank").isNotNull()).count() == frame(spark).where(F.size(resampling.words(F.col("text"))) >= 20).count() // 10
 
 
+def test_draw_splits_each_text_once(spark):
+    """Extracting the words by a pattern, twice a document, took the query over its CPU budget."""
+    plan = resampling.scored(frame(spark), [0] * resampling.BUCKETS)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert "regexp_extract_all" not in plan
+    # Once in the plan: neither the number of words nor the sum of gains splits the text again.
+    assert plan.count("split(") == 1
+
+
+def test_draw_words_are_those_of_the_pattern(spark):
+    signs = "".join(map(chr, range(128)))
+    texts = ["", " ", "Ab", "-Ab- 1c--", "İstanbul \u212A Kelvin ÉÀ x", "ǅ z\u00a0y Ω", "\x00a\x7fb", "A\u0301B", None, signs, signs + "é" + signs, "😀A😀 b"]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id int, text string")
+    word, lower = regex.compile(resampling.WORD), str.maketrans(resampling.UPPER, resampling.LOWER)
+    got = rows.select("id", resampling.words(F.col("text")).alias("w"), resampling.buckets(F.col("text")).alias("b")).orderBy("id").collect()
+    want = [word.findall((t or "").translate(lower)) for t in texts]
+    assert [r["w"] for r in got] == want
+    assert [r["b"] for r in got] == [[zlib.crc32(w.encode()) % resampling.BUCKETS for w in ws] for ws in want]
+
+
 def test_langid_letters_are_unicode_letters():
     from kpiweave.llm import langid
 
