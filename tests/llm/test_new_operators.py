@@ -1,5 +1,6 @@
 """Source divergence audit, sharding and importance resampling against plain versions, with edge cases."""
 
+import collections
 import hashlib
 import math
 import random
@@ -7,6 +8,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -58,6 +60,55 @@ def test_divergence_of_a_lang_without_kept_terms(spark):
     ]
 
 
+def test_divergence_shuffles_terms_once(spark):
+    """Shuffling (document, chunk) pairs took the query over its disk budget."""
+    plan = divergence.term_counts(corpus(spark))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "Exchange hashpartitioning(lang" in plan and "explode" not in plan.lower()
+    got = {(r["lang"], r["source"], r["term"]): (r["count"], r["docs"]) for r in divergence.term_counts(corpus(spark)).collect()}
+    assert got == plain_terms([(r["lang"], r["source"], r["text"]) for r in corpus(spark).collect()])
+
+
+def plain_terms(rows):
+    """Occurrences and documents of each (lang, source, term), in Python."""
+    term, lower = regex.compile(divergence.TERM), str.maketrans(divergence.UPPER, divergence.LOWER)
+    counts, docs = collections.Counter(), collections.Counter()
+    for lang, source, text in rows:
+        found = collections.Counter(term.findall((text or "").translate(lower)))
+        for word, n in found.items():
+            counts[lang or "", source or "", word] += n
+            docs[lang or "", source or "", word] += 1
+    return {k: (counts[k], docs[k]) for k in counts}
+
+
+@pytest.mark.parametrize("block, chunks, pairs", [(4 << 20, 1 << 19, 1 << 22), (64, 1 << 19, 1 << 22), (1, 5, 1 << 22), (300, 1 << 19, 40)])
+def test_divergence_counts_in_blocks(monkeypatch, block, chunks, pairs):
+    """Whatever the bounds of a task, a document's terms count once, also where a long text is cut in parts."""
+    for name, value in (("BLOCK", block), ("CHUNKS", chunks), ("PAIRS", pairs)):
+        monkeypatch.setattr(divergence, name, value)
+    rng = random.Random(5)
+    vocab = ["Ab", "ab,", "ab-cd", "CD!ab", "É", "é", "x1y", "42", "\x00", "a\u00a0b", "İ", "...", "東京"]
+    rows = [("", "", ""), ("en", "s0", "..."), ("en", "s0", " \t\x0b\x0c\r\n"), ("fr", "", "\u2003É\x1cÉ\x85")]
+    rows += [(rng.choice(["en", "fr"]), rng.choice(["s0", "s1"]), rng.choice(" \t\n\x0b").join(rng.choice(vocab) for _ in range(rng.choice([1, 8, 300])))) for _ in range(60)]
+    batches = [
+        pa.RecordBatch.from_arrays([pa.array([r[0] for r in part]), pa.array([r[1] for r in part]), pa.array([r[2].encode() for r in part], pa.binary())], ["lang", "source", "text"])
+        for part in (rows[:7], rows[7:8], rows[8:])
+    ]
+    found = collections.defaultdict(lambda: (0, 0))
+    for batch in divergence._counted(iter(batches)):
+        for r in batch.to_pylist():
+            key = r["lang"], r["source"], r["term"].decode()
+            found[key] = found[key][0] + r["count"], found[key][1] + r["docs"]
+    assert found == plain_terms(rows)
+    assert list(divergence._counted(iter([]))) == []
+
+
+def test_p_values_are_exact_for_any_count(spark):
+    counts = [0, 1, 2**33 - 1, 2**33, 2**33 + 1, 10**15 + 7]
+    rows = spark.createDataFrame([(n, n + 10**9, v) for n in counts for v in (0, 1, 131_071)], "n long, total long, v long")
+    for n, total, v, p in rows.withColumn("p", divergence.p_value("n", "total", "v")).collect():
+        assert p == (1 + 10**9 * (n + 2) // (total + 2 * v) if v else None)
+
+
 def test_divergence_of_nothing(spark, none):
     assert divergence.audit(none).count() == 0
 
