@@ -36,10 +36,11 @@ LOWER = "abcdefghijklmnopqrstuvwxyz"
 SCALE = 1_000_000_000
 MIN_DOCS = 10
 TOP_TERMS = 10
-# What a task holds at once: bytes of text cut at a time; distinct chunks and (document, term) pairs until it hands on its sums.
+# What a task holds at once: bytes of text cut at a time; distinct chunks and (document, term) pairs until it hands on its sums; rows of those sums.
 BLOCK = 4 << 20
 CHUNKS = 1 << 19
 PAIRS = 1 << 22
+ROWS = 1 << 16
 COUNTED = "lang string, source string, term binary, count long, docs long"
 
 
@@ -124,39 +125,42 @@ class _Block:
         return _summed(np.repeat(doc, sizes) << 32 | self.chunk_terms[at])
 
     def add(self, groups: list[tuple[str, str]], texts: list[bytes]) -> None:
+        if len(texts) > 1:
+            keys, counts = self._held(texts)
+        else:
+            parts = [self._held([part]) for part in _parts(texts[0])]
+            keys, _, counts = _summed(*map(np.concatenate, zip(*parts)))
         group = np.fromiter(map(self.groups.__getitem__, groups), np.int64, len(groups))
-        for i, j in batches(texts, BLOCK):
-            if j > i + 1:
-                keys, counts = self._held(texts[i:j])
-            else:
-                parts = [self._held([part]) for part in _parts(texts[i])]
-                keys, _, counts = _summed(*map(np.concatenate, zip(*parts)))
-            self.keys.append(group[i:j][keys >> 32] << 32 | keys & 0xFFFFFFFF)
-            self.counts.append(counts)
-            self.pairs += len(keys)
+        self.keys.append(group[keys >> 32] << 32 | keys & 0xFFFFFFFF)
+        self.counts.append(counts)
+        self.pairs += len(keys)
 
     def sums(self) -> Iterator[pa.RecordBatch]:
-        """One row per (group, term): occurrences and documents."""
+        """One row per (group, term): occurrences and documents. Ends the block."""
         if not self.pairs:
             return
-        keys, docs, counts = _summed(np.concatenate(self.keys), np.concatenate(self.counts))
-        group, term = keys >> 32, keys & 0xFFFFFFFF
-        langs, sources = zip(*self.groups)
-        columns = [
-            pa.array(langs, pa.string()).take(pa.array(group)), pa.array(sources, pa.string()).take(pa.array(group)),
-            pa.array(list(self.terms), pa.binary()).take(pa.array(term)), pa.array(counts), pa.array(docs),
-        ]
-        yield from pa.table(columns, names=["lang", "source", "term", "count", "docs"]).to_batches(max_chunksize=1 << 16)
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        self.keys.clear(), self.counts.clear()
+        keys, docs, counts = _summed(keys, counts)
+        langs, sources = (pa.array(names, pa.string()) for names in zip(*self.groups))
+        terms = pa.array(list(self.terms), pa.binary())
+        for at in range(0, len(keys), ROWS):
+            some = slice(at, at + ROWS)
+            group, term = pa.array(keys[some] >> 32), pa.array(keys[some] & 0xFFFFFFFF)
+            columns = [langs.take(group), sources.take(group), terms.take(term), pa.array(counts[some]), pa.array(docs[some])]
+            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "count", "docs"])
 
 
 def _counted(found: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     block = _Block()
     for batch in found:
         lang, source, text = (column.to_pylist() for column in batch.columns)
-        block.add(list(zip(lang, source)), text)
-        if len(block.chunks) > CHUNKS or block.pairs > PAIRS:
-            yield from block.sums()
-            block = _Block()
+        groups = list(zip(lang, source))
+        for i, j in batches(text, BLOCK):
+            block.add(groups[i:j], text[i:j])
+            if len(block.chunks) > CHUNKS or block.pairs > PAIRS:
+                yield from block.sums()
+                block = _Block()
     yield from block.sums()
 
 
